@@ -92,10 +92,13 @@ def records(scanned: DataFrame) -> DataFrame:
 
 def quarantine(scanned: DataFrame) -> DataFrame:
     """The text and the file of each record that did not parse in full."""
-    # Spark refuses a JSON query that reads the bad-record column alone, so a data column goes along.
-    data = [c for c in scanned.columns if c not in (BAD_RECORD, FILE_PATH)][0]
-    return scanned.where(F.col(BAD_RECORD).isNotNull()).select(
-        FILE_PATH, F.col(BAD_RECORD).alias("record"), F.col(data).isNotNull().alias("partly_read")
+    data = next(c for c in scanned.columns if c not in (BAD_RECORD, FILE_PATH))
+    partly_read = F.col(data).isNotNull()
+    # Spark refuses a JSON query that reads the bad-record column alone, as a count would: hence
+    # the condition on a data column too.
+    bad = F.col(BAD_RECORD).isNotNull() & ((F.col(BAD_RECORD) != "") | partly_read)
+    return scanned.where(bad).select(
+        FILE_PATH, F.col(BAD_RECORD).alias("record"), partly_read.alias("partly_read")
     )
 
 

@@ -4,28 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame
 
 # Fixed value: rows per insert statement.
 INSERT_ROWS = 30_000
 
 
-def writer(
-    df: DataFrame,
+def append(df: DataFrame, options: Mapping[str, str]) -> None:
+    df.write.format("jdbc").mode("append").options(**options).save()
+
+
+def options(
     url: str,
     table: str,
     writers: int | None = None,
     insert_rows: int = INSERT_ROWS,
     properties: Mapping[str, str] | None = None,
-) -> DataFrameWriter:
-    """A writer for ``table``. Each task opens one connection, ``writers`` bounds how many there
-    are at a time; a task that is run again may insert its rows again, so write to a staging table.
+) -> dict[str, str]:
+    """Writer options. Each task opens one connection, and ``writers`` bounds how many there are.
+
+    A task that is run again may insert its rows again, so the table should be a staging table.
     """
-    options = {"url": url, "dbtable": table, "batchsize": str(insert_rows)}
+    chosen = {"url": url, "dbtable": table, "batchsize": str(insert_rows)}
     if writers:
-        options["numPartitions"] = str(writers)
-    return df.write.format("jdbc").mode("append").options(**options, **(properties or {}))
-
-
-def append(df: DataFrame, url: str, table: str, **settings) -> None:
-    writer(df, url, table, **settings).save()
+        chosen["numPartitions"] = str(writers)
+    return {**chosen, **(properties or {})}
