@@ -45,7 +45,7 @@ def url_param_part(
 
     The default stands in for a missing URL, a missing parameter and a value with too few parts.
     """
-    value = F.regexp_extract(_col(url), f"{param}=([^&]+)", 1)
+    value = F.nullif(F.regexp_extract(_col(url), f"{param}=([^&]+)", 1), F.lit(""))
     return F.coalesce(F.get(F.split(value, "/"), F.lit(position)), F.lit(default))
 
 
