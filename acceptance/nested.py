@@ -201,9 +201,6 @@ def file_provenance(spark, sf_dir):
     )
 
 
-_EVENT = "event_id bigint,user_id bigint,value double,ts timestamp_ntz,props string"
-
-
 @query(
     """
 SELECT event_id, user_id, 'wanted' AS kind FROM events WHERE event_type IN ('click', 'view')"""
@@ -216,7 +213,7 @@ def file_select(spark, sf_dir):
         as_json(events.where(~wanted), path, "other")
 
     folder = written(spark, sf_dir, "two-kinds", write)
-    found = feeds.scan(spark, folder, schemas.struct(_EVENT), files="wanted-*.json")
+    found = feeds.scan(spark, folder, schemas.struct("event_id bigint,user_id bigint"), files="wanted-*.json")
     return feeds.records(found).select(
         "event_id", "user_id", F.regexp_extract("file_path", "/([a-z]+)-[^/]*$", 1).alias("kind")
     )
@@ -275,17 +272,15 @@ _EVENTS = "SELECT event_id, user_id, event_type, epoch_us(ts) AS ts_us, props FR
 
 
 def _events_stream(spark, sf_dir):
-    schema = schemas.struct(_EVENT + ",event_type string")
+    fields = "event_id bigint,user_id bigint,ts_us bigint,props string,event_type string"
     stream = feeds.scan_stream(
         spark,
         events_feed(spark, sf_dir),
-        schema,
+        schemas.struct(fields),
         files="events-*.json",
         max_files=max(4, spark.sparkContext.defaultParallelism),
     )
-    return feeds.records(stream).select(
-        "event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "props"
-    )
+    return feeds.records(stream).select("event_id", "user_id", "event_type", "ts_us", "props")
 
 
 @query(_EVENTS)

@@ -148,7 +148,10 @@ def as_json(df: DataFrame, path: str, prefix: str, by: str | None = None) -> Non
 
 def events_feed(spark: SparkSession, sf_dir: str) -> str:
     def write(path):
-        as_json(table(spark, sf_dir, "events"), path, "events", by="event_type")
+        events = table(spark, sf_dir, "events")
+        ts_us = F.unix_micros(instant("ts")).alias("ts_us")
+        kept = ["event_id", "user_id", "event_type", "props"]
+        as_json(events.select(*kept, ts_us), path, "events", by="event_type")
 
     return written(spark, sf_dir, "events", write)
 

@@ -40,13 +40,13 @@ def by_hash(keys: Sequence[str], slots: int) -> Slot:
     return Slot(f"slot_of_{slots}", f"pmod(xxhash64({', '.join(keys)}), {slots})", "int")
 
 
-def by_leading_day(key: str, slots: int) -> Slot:
-    """Partitions by the ``yyyyMMdd`` a key starts with, so that new data leaves past days alone;
-    keys without one go to ``slots`` hash partitions."""
-    day = f"nullif(regexp_extract({key}, '^[0-9]{{8}}', 0), '')"
+def by_leading_month(key: str, slots: int) -> Slot:
+    """Partitions by the month of a key that starts with ``yyyyMMdd``, so that new data leaves past
+    months alone; other keys go to ``slots`` hash partitions."""
+    month = f"left(nullif(regexp_extract({key}, '^[0-9]{{8}}', 0), ''), 6)"
     return Slot(
-        f"day_or_slot_of_{slots}",
-        f"coalesce({day}, concat('h', pmod(xxhash64({key}), {slots})))",
+        f"month_or_slot_of_{slots}",
+        f"coalesce({month}, concat('h', pmod(xxhash64({key}), {slots})))",
     )
 
 
@@ -105,14 +105,17 @@ class KeyedTable:
         self._publish(without(current, new, self.keys).unionByName(new), slots)
 
     def replace(self, touched: DataFrame, rows: DataFrame) -> None:
-        """Remove the keys in ``touched`` and add ``rows``, whose keys are among them."""
+        """Remove the keys in ``touched`` and add ``rows``, whose keys are among them.
+
+        ``touched`` is read twice, so it should be kept or lie in files.
+        """
         spark = touched.sparkSession
         self.recover(spark)
-        with reused(self._slotted(touched.select(*self.keys).distinct())) as gone:
-            slots = self._slots_of(gone)
-            current = self._stored(spark).where(self._in_slots(slots))
-            fresh = self._slotted(rows.select(*self.schema.names))
-            self._publish(without(current, gone, self.keys).unionByName(fresh), slots)
+        gone = self._slotted(touched.select(*self.keys))
+        slots = self._slots_of(gone)
+        current = self._stored(spark).where(self._in_slots(slots))
+        fresh = self._slotted(rows.select(*self.schema.names))
+        self._publish(without(current, gone, self.keys).unionByName(fresh), slots)
 
     def recover(self, spark: SparkSession) -> None:
         """Finish a publication that the driver did not live to finish."""

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from feedmart.sources.tables import Folder, KeyedTable, append_batch, by_column, by_hash, by_leading_day
+from feedmart.sources.tables import Folder, KeyedTable, append_batch, by_column, by_hash, by_leading_month
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,7 +36,7 @@ def test_insert_and_replace(spark, table, rows):
     assert rows(t.read(spark)) == expected
 
 
-@pytest.mark.parametrize("slot", [by_hash(["k", "day"], 3), by_leading_day("k", 2)])
+@pytest.mark.parametrize("slot", [by_hash(["k", "day"], 3), by_leading_month("k", 2)])
 def test_other_layouts(spark, table, rows, slot):
     t = table(slot)
     t.upsert(frame(spark, ("20250101A", D1, 1, 0), ("b", D1, 2, 0), (None, D1, 3, 0)))
