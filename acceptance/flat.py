@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from acceptance.registry import query
-from acceptance.views import LEG, cents, instant, leg, legs, places, table, trips
+from acceptance.views import LEG, cents, instant, itineraries, leg, places, table, trips
 from feedmart.functions import keys, labels, money, times
 from feedmart.operators import dedupe, itinerary, rollup
 from feedmart.operators.lookup import both_ends, lookup
@@ -107,7 +107,7 @@ WITH {LEG}, trip AS (
 
 @query(_TRIP + "SELECT air_id, airline, depart_us, arrival_us, is_layover FROM trip")
 def itinerary_summary(spark, sf_dir):
-    return itinerary.summarise(legs(spark, sf_dir)).select(
+    return itinerary.flights(itineraries(spark, sf_dir)).where("listed").select(
         "air_id",
         "airline",
         F.unix_micros("depart_timestamp").alias("depart_us"),
@@ -121,7 +121,7 @@ def itinerary_summary(spark, sf_dir):
     + "SELECT air_id, depart_airport, arrival_airport, depart_local_us, arrival_local_us FROM trip"
 )
 def itinerary_endpoints(spark, sf_dir):
-    return itinerary.summarise(legs(spark, sf_dir)).select(
+    return itinerary.flights(itineraries(spark, sf_dir)).where("listed").select(
         "air_id",
         "depart_airport",
         "arrival_airport",
@@ -413,11 +413,8 @@ SELECT l_orderkey || '-' || l_linenumber, l_returnflag, CAST(l_suppkey AS VARCHA
 FROM leg WHERE l_orderkey IN (SELECT l_orderkey FROM leg GROUP BY l_orderkey HAVING count(*) > 1)"""
 )
 def union_itineraries_legs(spark, sf_dir):
-    rows = legs(spark, sf_dir)
-    return (
-        itinerary.summarise(rows)
-        .unionByName(itinerary.single_legs(rows))
-        .select("air_id", "airline", "depart_airport", "arrival_airport", "is_layover")
+    return itinerary.flights(itineraries(spark, sf_dir)).select(
+        "air_id", "airline", "depart_airport", "arrival_airport", "is_layover"
     )
 
 
@@ -434,4 +431,4 @@ SELECT air_id, l_orderkey || '-' || l_linenumber AS segment_id, CAST(n AS INTEGE
 FROM placed WHERE legs > 1"""
 )
 def layovers(spark, sf_dir):
-    return itinerary.layovers(legs(spark, sf_dir))
+    return itinerary.layovers(itineraries(spark, sf_dir))

@@ -53,9 +53,8 @@ def instant(column: str) -> Column:
 
 def leg(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn("p", cents("l_extendedprice"))
-    return newest(
-        lines, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey", "p"]
-    )
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "p"]
+    return newest(lines, ["l_orderkey", "l_linenumber"], order, total=True)
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,26 +99,29 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The legs of ``trips`` in the columns of the itinerary operators."""
-    from feedmart.operators.nested import positioned
+def itineraries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trips`` in the columns of the itinerary operators."""
+
+    def as_leg(line: Column, position: Column) -> Column:
+        at = line["l_shipdate"].cast("timestamp")
+        until = at + F.make_dt_interval(hours=line["l_quantity"].cast("int"))
+        return F.struct(
+            position.alias("ord"),
+            line["l_returnflag"].alias("airline"),
+            line["l_suppkey"].cast("string").alias("depart_airport"),
+            line["l_partkey"].cast("string").alias("arrival_airport"),
+            at.alias("depart_ts"),
+            until.alias("arrival_ts"),
+            at.alias("depart_local_ts"),
+            until.alias("arrival_local_ts"),
+            (line["l_quantity"] * 60).cast("int").alias("leg_time"),
+            line["l_quantity"].cast("int").alias("connect_time"),
+        )
 
-    rows = positioned(trips(spark, sf_dir), "legs", "ord", "leg", ["full_air_id"])
-    at = F.col("leg.l_shipdate").cast("timestamp")
-    until = at + F.make_dt_interval(hours=F.col("leg.l_quantity").cast("int"))
-    return rows.select(
+    return trips(spark, sf_dir).select(
         "full_air_id",
-        "ord",
-        F.col("leg.l_returnflag").alias("airline"),
-        F.col("leg.l_suppkey").cast("string").alias("depart_airport"),
-        F.col("leg.l_partkey").cast("string").alias("arrival_airport"),
-        at.alias("depart_ts"),
-        until.alias("arrival_ts"),
-        at.alias("depart_local_ts"),
-        until.alias("arrival_local_ts"),
         F.lit(None).cast("int").alias("journey_time"),
-        (F.col("leg.l_quantity") * 60).cast("int").alias("leg_time"),
-        F.col("leg.l_quantity").cast("int").alias("connect_time"),
+        F.transform("legs", as_leg).alias("legs"),
     )
 
 

@@ -8,19 +8,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
+def newest(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str] = (),
+    total: bool = False,
+) -> DataFrame:
     """Keep one row per key: the first in ``order``, with ties broken by all other columns.
 
-    A column name in ``order`` means its largest value first, and nulls last. The survivor does not depend on how the rows are spread. Spark limits each task to one row per
+    A column name in ``order`` means its largest value first, and nulls last. ``total`` says that
+    ``order`` leaves no ties, so that columns nobody uses need not be read.
+
+    The survivor does not depend on how the rows are spread. Spark limits each task to one row per
     key before the shuffle, so a key that holds much of the data is reduced where it is read.
     """
-    ties = [
-        F.col(f.name).desc_nulls_last()
+    named = [c for c in order if isinstance(c, str)]
+    rest = [
+        f.name
         for f in df.schema.fields
-        if f.name not in keys and _orderable(f.dataType.simpleString())
+        if f.name not in {*keys, *named} and "map<" not in f.dataType.simpleString()
     ]
-    first = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
-    ranked = Window.partitionBy(*keys).orderBy(*first, *ties)
+    ranking = [*order, *([] if total else rest)]
+    first = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in ranking]
+    ranked = Window.partitionBy(*keys).orderBy(*first)
     return df.withColumn("__rank", F.row_number().over(ranked)).where("__rank = 1").drop("__rank")
 
 
@@ -35,7 +45,3 @@ def valid_keys(*sides: DataFrame) -> DataFrame:
 def having_key(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key is in the set. The set grows with the data, so nothing is hinted."""
     return df.join(keys, on, "left_semi")
-
-
-def _orderable(type_name: str) -> bool:
-    return "map<" not in type_name and "variant" not in type_name

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from feedmart.functions import keys, labels, money, times
 from feedmart.operators import itinerary
-from feedmart.operators.dedupe import having_key, newest, valid_keys
+from feedmart.operators.dedupe import having_key, newest
 from feedmart.operators.nested import elements, entries, positioned
 from feedmart.plans.domestic import FARE_KEYS, NEWEST, with_utc
 from feedmart.sources import feeds, schemas
@@ -48,12 +48,9 @@ def itineraries(base: DataFrame) -> DataFrame:
     Airline names are looked up inside the row, so that the documents' maps stay out of the
     shuffle, and all legs of an itinerary come from one document.
     """
+    context = ["airlines", "fetched_date", "file_path"]
     listed = entries(
-        elements(base, "schedules", "listed", ["airlines", "fetched_date", "file_path"]),
-        "listed",
-        "full_air_id",
-        "itinerary",
-        ["airlines", "fetched_date", "file_path"],
+        elements(base, "schedules", "listed", context), "listed", "full_air_id", "itinerary", context
     )
     named = listed.select(
         "full_air_id",
@@ -76,47 +73,47 @@ def itineraries(base: DataFrame) -> DataFrame:
     return newest(named, ["full_air_id"], NEWEST)
 
 
-def legs(trips: DataFrame, airports: DataFrame, whole: bool = True) -> DataFrame:
-    """One row per itinerary and leg position, with times in UTC.
+_CARRY = ["journey_time", "fetched_date", "file_path"]
+
+
+def trips(base: DataFrame, airports: DataFrame, whole: bool = True) -> DataFrame:
+    """One row per itinerary, with its legs in order and their times in UTC.
 
     A leg from or to an unknown airport takes its whole itinerary along; with ``whole=False`` only
-    that leg is dropped.
+    that leg is dropped. The legs are still partitioned by itinerary when they are put together
+    again, so the only shuffle is that of the newest itineraries.
     """
-    rows = positioned(
-        trips, "detail", "ord", "leg", ["full_air_id", "journey_time", "fetched_date", "file_path"]
-    ).select("full_air_id", "ord", "journey_time", "fetched_date", "file_path", "leg.*")
-    zoned = with_utc(rows, airports).withColumn("known", F.col("dep_known") & F.col("arr_known"))
-    known = itinerary.whole_only(zoned, "known") if whole else zoned.where("known")
-    return known.select(
-        *rows.columns,
+    rows = positioned(itineraries(base), "detail", "ord", "leg", ["full_air_id", *_CARRY])
+    flat = rows.select("full_air_id", *_CARRY, "ord", "leg.*")
+    zoned = with_utc(flat, airports).select(
+        *flat.columns,
         times.to_utc("depart_local_ts", "dep_zone").alias("depart_ts"),
         times.to_utc("arrival_local_ts", "arr_zone").alias("arrival_ts"),
+        (F.col("dep_known") & F.col("arr_known")).alias("known"),
     )
+    if not whole:
+        return itinerary.gather(zoned.where("known"), _CARRY)
+    return itinerary.gather(zoned, _CARRY).where(F.forall("legs", lambda leg: leg["known"]))
+
 
+def legs(known_trips: DataFrame) -> DataFrame:
+    """One row per itinerary and leg position."""
+    return known_trips.select("full_air_id", *_CARRY, F.inline("legs")).drop("known")
 
-def flights(known_legs: DataFrame) -> DataFrame:
+
+def flights(known_trips: DataFrame) -> DataFrame:
     """One row per itinerary and per leg of a connection. Where a leg is also listed as an
     itinerary, the newest report counts, and of equally new ones the itinerary."""
-    carry = ["fetched_date", "file_path"]
-    whole = itinerary.summarise(known_legs, carry).withColumn("listed", F.lit(True))
-    parts = itinerary.single_legs(known_legs, carry).withColumn("listed", F.lit(False))
+    reports = itinerary.flights(known_trips, ["fetched_date", "file_path"])
     return (
-        newest(whole.unionByName(parts), ["air_id"], ["fetched_date", "listed", "file_path"])
-        .drop("listed", *carry)
+        newest(reports, ["air_id"], ["fetched_date", "listed", "file_path"])
+        .drop("listed", "fetched_date", "file_path")
         .withColumn("depart_date", F.to_date("depart_local_ts"))
     )
 
 
-def air_ids(known_legs: DataFrame) -> DataFrame:
-    """The ids that fares may refer to: itineraries and the legs of connections."""
-    return valid_keys(
-        known_legs.select(F.col("full_air_id").alias("air_id")),
-        itinerary.single_legs(known_legs).select("air_id"),
-    )
-
-
 def fares(
-    base: DataFrame, known_legs: DataFrame, option_label: str = labels.ADULT_ANY_PAYMENT
+    base: DataFrame, known_trips: DataFrame, option_label: str = labels.ADULT_ANY_PAYMENT
 ) -> DataFrame:
     """One row per id, class, agent, crawl day and fare class, for one payment option."""
     context = ["fareTypes", "seat_class", "fetched_date", "file_path"]
@@ -138,23 +135,23 @@ def fares(
         "file_path",
     )
     single = newest(rows, FARE_KEYS, ["file_path"]).drop("file_path")
-    return having_key(single, air_ids(known_legs), "air_id")
+    return having_key(single, itinerary.air_ids(known_trips), "air_id")
 
 
-def layovers(known_legs: DataFrame) -> DataFrame:
-    return itinerary.layovers(known_legs)
+def layovers(known_trips: DataFrame) -> DataFrame:
+    return itinerary.layovers(known_trips)
 
 
 def tables(
-    raw: DataFrame, airports: DataFrame, known_legs: DataFrame | None = None
+    raw: DataFrame, airports: DataFrame, known_trips: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """The output tables of one batch of documents. ``known_legs`` may be given as a frame that the
+    """The output tables of one batch of documents. ``known_trips`` may be given as a frame that the
     caller keeps, since three of the tables are built from it."""
     base = results(raw)
-    if known_legs is None:
-        known_legs = legs(itineraries(base), airports)
+    if known_trips is None:
+        known_trips = trips(base, airports)
     return {
-        "flight_info": flights(known_legs),
-        "fare_info": fares(base, known_legs),
-        "layover_info": layovers(known_legs),
+        "flight_info": flights(known_trips),
+        "fare_info": fares(base, known_trips),
+        "layover_info": layovers(known_trips),
     }

@@ -77,8 +77,8 @@ def test_unknown_airport_drops_the_itinerary_or_only_the_leg(spark, tmp_path, ro
     assert rows(out["flight_info"], "air_id") == [("K1",)]
     assert rows(out["fare_info"], "air_id") == [("K1",)]
     base = international.results(raw)
-    legs = international.legs(international.itineraries(base), fx.airports(spark), whole=False)
-    assert rows(legs, "full_air_id", "ord") == [("K1", 0), ("K1+K9", 0)]
+    trips = international.trips(base, fx.airports(spark), whole=False)
+    assert rows(international.legs(trips), "full_air_id", "ord") == [("K1", 0), ("K1+K9", 0)]
 
 
 def test_fares(spark, tmp_path, rows):
