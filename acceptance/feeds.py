@@ -31,14 +31,14 @@ def _domestic(spark, sf_dir):
     scanned = feeds.scan(
         spark, domestic_feed(spark, sf_dir), domestic.read_schema(), files="domestic-*.json"
     )
-    return domestic.tables(feeds.records(scanned).drop("day"), airports(spark, sf_dir))
+    return domestic.tables(feeds.records(scanned), airports(spark, sf_dir))
 
 
 def _international(spark, sf_dir):
     scanned = feeds.scan(
-        spark, international_feed(spark, sf_dir), international.read_schema(), files="trip_*.json"
+        spark, international_feed(spark, sf_dir), international.read_schema(), files="trip-*.json"
     )
-    return international.tables(feeds.records(scanned).drop("day"), airports(spark, sf_dir))
+    return international.tables(feeds.records(scanned), airports(spark, sf_dir))
 
 
 _DOMESTIC = f"""

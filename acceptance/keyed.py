@@ -99,7 +99,7 @@ def stream_upsert(spark, sf_dir):
     comes first."""
 
     def write(path):
-        as_json(_lines(spark, sf_dir).drop("l_linestatus"), path, "lines", by="l_returnflag")
+        as_json(_lines(spark, sf_dir).drop("l_linestatus"), path, "lines", "l_returnflag")
 
     source = written(spark, sf_dir, "lines-feed", write)
     target = _table(spark, "streamed-lines", _LINE, _LINE_KEYS, tuple(_LINE_ORDER))

@@ -28,11 +28,10 @@ _PLACES = """orders JOIN customer ON o_custkey = c_custkey
 
 
 def _domestic(spark, sf_dir):
-    # The columns of the folders (day=...) are left aside: the jobs read the day from the path.
     scanned = feeds.scan(
         spark, domestic_feed(spark, sf_dir), domestic.read_schema(), files="domestic-*.json"
     )
-    return feeds.records(scanned).drop("day")
+    return feeds.records(scanned)
 
 
 def _schedules(spark, sf_dir):
@@ -43,9 +42,9 @@ def _schedules(spark, sf_dir):
 
 def _international(spark, sf_dir):
     scanned = feeds.scan(
-        spark, international_feed(spark, sf_dir), international.read_schema(), files="trip_*.json"
+        spark, international_feed(spark, sf_dir), international.read_schema(), files="trip-*.json"
     )
-    return international.results(feeds.records(scanned).drop("day"))
+    return international.results(feeds.records(scanned))
 
 
 @query(
@@ -228,7 +227,7 @@ FROM placed JOIN orders ON l_orderkey = o_orderkey WHERE n = 0"""
 )
 def path_parts(spark, sf_dir):
     scanned = feeds.scan(
-        spark, international_feed(spark, sf_dir), international.read_schema(), files="trip_*.json"
+        spark, international_feed(spark, sf_dir), international.read_schema(), files="trip-*.json"
     )
     trip = elements(scanned, "data.internationalList.results.schedules", "t", ["file_path"])
     return trip.select(

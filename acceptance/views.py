@@ -140,12 +140,10 @@ def written(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     return _written[key]
 
 
-def as_json(df: DataFrame, path: str, prefix: str, by: str | None = None) -> None:
+def as_json(df: DataFrame, path: str, prefix: str, *by: str) -> None:
     """Write JSON files whose names start with ``prefix``, in one folder per value of ``by``."""
     writer = df.write.mode("append").option("mapreduce.output.basename", prefix)
-    if by:
-        writer = writer.partitionBy(by)
-    writer.json(path)
+    (writer.partitionBy(*by) if by else writer).json(path)
 
 
 def events_feed(spark: SparkSession, sf_dir: str) -> str:
@@ -153,7 +151,7 @@ def events_feed(spark: SparkSession, sf_dir: str) -> str:
         events = table(spark, sf_dir, "events")
         ts_us = F.unix_micros(instant("ts")).alias("ts_us")
         kept = ["event_id", "user_id", "event_type", "props"]
-        as_json(events.select(*kept, ts_us), path, "events", by="event_type")
+        as_json(events.select(*kept, ts_us), path, "events", "event_type")
 
     return written(spark, sf_dir, "events", write)
 
@@ -209,14 +207,14 @@ def domestic_feed(spark: SparkSession, sf_dir: str) -> str:
                 ).alias("domesticFlights")
             ).alias("data"),
         )
-        as_json(docs, path, "domestic", by="day")
+        as_json(docs, path, "domestic", "day")
 
     return written(spark, sf_dir, "domestic", write)
 
 
 def international_feed(spark: SparkSession, sf_dir: str) -> str:
     """International-shaped documents: one per order that has line items. Orders with status F go
-    to files of cabin Y, the others to files of cabin C."""
+    to a folder for cabin Y, the others to one for cabin C."""
 
     def write(path):
         supplier = table(spark, sf_dir, "supplier")
@@ -303,11 +301,10 @@ def international_feed(spark: SparkSession, sf_dir: str) -> str:
             ).alias("fares"),
         )
         docs = orders.select(
-            "o_orderstatus",
             F.date_trunc("year", "o_orderdate").cast("date").alias("day"),
+            F.when(F.col("o_orderstatus") == "F", "_Y_").otherwise("_C_").alias("cabin"),
             F.struct(F.struct(results.alias("results")).alias("internationalList")).alias("data"),
         )
-        for cabin, these in (("Y", "o_orderstatus = 'F'"), ("C", "o_orderstatus <> 'F'")):
-            as_json(docs.where(these).drop("o_orderstatus"), path, f"trip_{cabin}_x", by="day")
+        as_json(docs, path, "trip", "day", "cabin")
 
     return written(spark, sf_dir, "international", write)

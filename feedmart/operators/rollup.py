@@ -32,10 +32,10 @@ def price_stats(df: DataFrame, keys: Sequence[str], price: str = "adult_fare") -
     prices = df.groupBy(*keys, F.col(price).cast("bigint").alias("__price")).agg(
         F.count("*").alias("__n")
     )
-    group = Window.partitionBy(*keys)
-    by_price = group.orderBy(F.col("__price").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    # Both frames share one order, so that one sort and one window serve them.
+    by_price = Window.partitionBy(*keys).orderBy(F.col("__price").asc_nulls_last())
+    group = by_price.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = by_price.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     priced = F.when(F.col("__price").isNull(), 0).otherwise(F.col("__n"))
     ranked = prices.select(
         *keys,
@@ -44,7 +44,7 @@ def price_stats(df: DataFrame, keys: Sequence[str], price: str = "adult_fare") -
         F.sum("__n").over(group).alias("ticket_count"),
         F.sum(priced).over(group).alias("__all_priced"),
         F.sum(F.col("__price") * F.col("__n")).over(group).alias("__sum"),
-        F.sum(priced).over(by_price).alias("__reached"),
+        F.sum(priced).over(so_far).alias("__reached"),
     )
     median_row = (
         (F.col("__reached") * 2 >= F.col("__all_priced"))
