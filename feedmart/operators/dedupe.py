@@ -43,5 +43,8 @@ def valid_keys(*sides: DataFrame) -> DataFrame:
 
 
 def having_key(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is in the set. The set grows with the data, so nothing is hinted."""
-    return df.join(keys, on, "left_semi")
+    """Rows whose key is in the set.
+
+    The set grows with the data, so nothing is hinted. It is made distinct first: a key that makes
+    up much of it is then one row per task before the shuffle."""
+    return df.join(keys.select(on).distinct(), on, "left_semi")

@@ -100,9 +100,12 @@ class KeyedTable:
         self.recover(spark)
         slots = self._slots_of(new)
         current = self._stored(spark).where(self._in_slots(slots))
-        if self.version:
-            new = without(new, newer_in(current, new, self.keys, self.version), self.keys)
-        self._publish(without(current, new, self.keys).unionByName(new), slots)
+        if not self.version:
+            self._publish(without(current, new, self.keys).unionByName(new), slots)
+            return
+        newer = newer_in(current, new, self.keys, self.version)
+        with reused(without(new, newer, self.keys)) as wanted:
+            self._publish(without(current, wanted, self.keys).unionByName(wanted), slots)
 
     def replace(self, touched: DataFrame, rows: DataFrame) -> None:
         """Remove the keys in ``touched`` and add ``rows``, whose keys are among them.
