@@ -32,8 +32,9 @@ def price_stats(df: DataFrame, keys: Sequence[str], price: str = "adult_fare") -
     prices = df.groupBy(*keys, F.col(price).cast("bigint").alias("__price")).agg(
         F.count("*").alias("__n")
     )
-    # Both frames share one order, so that one sort and one window serve them.
-    by_price = Window.partitionBy(*keys).orderBy(F.col("__price").asc_nulls_last())
+    # Both frames share one order, so that one sort and one window serve them. The hash comes first
+    # because the sort mostly decides by the leading column.
+    by_price = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(F.col("__price").asc_nulls_last())
     group = by_price.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = by_price.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     priced = F.when(F.col("__price").isNull(), 0).otherwise(F.col("__n"))
