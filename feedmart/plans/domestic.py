@@ -120,5 +120,8 @@ def fares(base: DataFrame) -> DataFrame:
 
 def tables(raw: DataFrame, airports: DataFrame, direction: str = "departures") -> dict[str, DataFrame]:
     """The output tables of one batch of documents."""
-    base = schedules(raw, direction)
+    return tables_of(schedules(raw, direction), airports)
+
+
+def tables_of(base: DataFrame, airports: DataFrame) -> dict[str, DataFrame]:
     return {"flight_info": flights(base, airports), "fare_info": fares(base)}

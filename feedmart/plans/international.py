@@ -142,14 +142,13 @@ def layovers(known_trips: DataFrame) -> DataFrame:
     return itinerary.layovers(known_trips)
 
 
-def tables(
-    raw: DataFrame, airports: DataFrame, known_trips: DataFrame | None = None
-) -> dict[str, DataFrame]:
-    """The output tables of one batch of documents. ``known_trips`` may be given as a frame that the
-    caller keeps, since three of the tables are built from it."""
+def tables(raw: DataFrame, airports: DataFrame) -> dict[str, DataFrame]:
+    """The output tables of one batch of documents."""
     base = results(raw)
-    if known_trips is None:
-        known_trips = trips(base, airports)
+    return tables_of(base, trips(base, airports))
+
+
+def tables_of(base: DataFrame, known_trips: DataFrame) -> dict[str, DataFrame]:
     return {
         "flight_info": flights(known_trips),
         "fare_info": fares(base, known_trips),
