@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import quality_rules
+from feedmart.llm import license_scan, quality_rules
 from feedmart.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,8 @@ FROM c
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.counts(table(spark, sf_dir, "documents"))
     return found.drop("failed_rule")  # which rule came first depends on the measured order
+
+
+@query()
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
