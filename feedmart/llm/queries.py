@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import license_scan, quality_rules
+from feedmart.llm import license_scan, mixing, quality_rules
 from feedmart.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,42 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), k AS (
+  SELECT doc_id, source, size, -ln((CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+      / 4503599627370496.0::DOUBLE)
+    / greatest(0.1::DOUBLE, CASE WHEN length(text) > 0
+        THEN length(regexp_replace(text, '[#*$%&|<>!]', '', 'g'))::DOUBLE / length(text) ELSE 0.0::DOUBLE END
+      * least(1.0::DOUBLE, size / 50.0::DOUBLE)) AS key
+  FROM d
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM d GROUP BY source
+), f AS (
+  SELECT *, source_size * 3.0::DOUBLE / weight AS ratio,
+    ((sum(source_size) OVER () - 3 * (sum(source_size) OVER w - source_size))::DOUBLE
+      / (sum(weight) OVER () - sum(weight) OVER w + weight)) AS level
+  FROM s WINDOW w AS (ORDER BY source_size * 3.0::DOUBLE / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+), t AS (
+  SELECT source, source_size,
+    least(3.0::DOUBLE * source_size, weight * (SELECT level FROM f WHERE level <= ratio ORDER BY ratio, source NULLS LAST LIMIT 1)) AS target FROM f
+), r AS (
+  SELECT d.*, source_size, target, floor(target / nullif(source_size, 0)) AS epochs,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM k AS d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, CAST(size * (coalesce(epochs, 0)
+  + CASE WHEN start + size / 2.0::DOUBLE <= target - coalesce(epochs, 0) * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r
+"""
+
+
+@query(MIX_SQL)
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
