@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import license_scan, mixing, quality_rules
+from feedmart.llm import license_scan, mixing, quality_rules, simhash
 from feedmart.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,8 @@ FROM r
 @query(MIX_SQL)
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
