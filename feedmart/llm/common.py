@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmart.session import work_dir
@@ -16,6 +20,24 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors' Python workers, once per application.
+
+    Where the package is installed on the cluster this changes nothing.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        folder = tempfile.mkdtemp(prefix="feedmart-package-")  # the driver serves the file from here
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/feedmart", "zip", root, "feedmart"))
+        _SHIPPED.add(app)
+    return spark
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z put in lower case and all other letters left alone; null stays null."""
     return F.translate(text, UPPER, LOWER)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import license_scan, mixing, quality_rules, simhash
+from feedmart.llm import license_scan, mixing, quality_rules, simhash, toxicity
+from feedmart.llm.common import ship
 from feedmart.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +18,7 @@ SQL: dict[str, str] = {}
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(run: Query) -> Query:
-        QUERIES[run.__name__] = lambda spark, sf_dir: run(pin(spark), sf_dir)
+        QUERIES[run.__name__] = lambda spark, sf_dir: run(ship(pin(spark)), sf_dir)
         if sql:
             SQL[run.__name__] = sql
         return run
@@ -121,3 +122,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.scored(docs, toxicity.learn(docs, toxicity.learning_fold(labels)))
