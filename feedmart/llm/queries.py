@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import license_scan, mixing, quality_rules, simhash, toxicity
+from feedmart.llm import decontaminate, license_scan, mixing, quality_rules, simhash, toxicity
 from feedmart.llm.common import ship
 from feedmart.session import pin
 
@@ -128,3 +128,9 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.scored(docs, toxicity.learn(docs, toxicity.learning_fold(labels)))
+
+
+@query()
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark passage, with the item; documents without one have no row."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
