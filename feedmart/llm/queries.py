@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import decontaminate, license_scan, mixing, quality_rules, simhash, toxicity
+from feedmart.llm import decontaminate, license_scan, mixing, quality_rules, simhash, toxicity, warc
 from feedmart.llm.common import ship
 from feedmart.session import pin
 
@@ -134,3 +134,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a benchmark passage, with the item; documents without one have no row."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), least=0).drop("url", "body")
