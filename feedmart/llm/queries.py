@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmart.llm import decontaminate, license_scan, mixing, quality_rules, simhash, toxicity, warc
+from feedmart.llm import decontaminate, html_main, license_scan, mixing, quality_rules, simhash, toxicity, warc
 from feedmart.llm.common import ship
 from feedmart.session import pin
 
@@ -139,3 +139,8 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), least=0).drop("url", "body")
+
+
+@query()
+def op9_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages"))
