@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedmart.llm import decontaminate, html_main, license_scan, mixing, quality_rules, simhash, toxicity, warc
-from feedmart.llm.common import ship
+from feedmart.llm import decontaminate, html_main, license_scan, lm, mixing, quality_rules, simhash, toxicity, warc
+from feedmart.llm.common import crc_bucket, ship
 from feedmart.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +145,9 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.scored(table(spark, sf_dir, "documents"), lm.learning_fold())
+    return found.withColumn("held_out", crc_bucket(F.col("doc_id"), 10) == 0)
