@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmart.llm import decontaminate, html_main, license_scan, lm, mixing, quality_rules, simhash, toxicity, warc
+from feedmart.llm import cotraining, decontaminate, html_main, license_scan, lm, mixing, quality_rules, simhash, toxicity, warc
 from feedmart.llm.common import crc_bucket, ship
 from feedmart.session import pin
 
@@ -151,3 +151,8 @@ def op9_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lm.scored(table(spark, sf_dir, "documents"), lm.learning_fold())
     return found.withColumn("held_out", crc_bucket(F.col("doc_id"), 10) == 0)
+
+
+@query()
+def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
