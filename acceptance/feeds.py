@@ -13,6 +13,10 @@ from feedmart.plans.warehouse import Warehouse
 from feedmart.session import work_dir
 from feedmart.sources import feeds
 
+#: Files per trigger.
+CHUNK = 8
+
+_VERSION = ("fetched_date", "listed", "file_path")
 _DATES = ("depart_date", "fetched_date")
 _TIMES = {"depart_timestamp": "depart_us", "arrival_timestamp": "arrival_us"}
 
@@ -72,12 +76,12 @@ SELECT air_id, airline, depart_airport, epoch_us(timezone(coalesce(tz, 'UTC'), d
 FROM flight"""
 )
 def domestic_flights(spark, sf_dir):
-    return _plain(_domestic(spark, sf_dir)["flight_info"])
+    return _plain(_domestic(spark, sf_dir)["flight_info"].drop(*_VERSION))
 
 
 @query(_DOMESTIC + "SELECT * FROM fare")
 def domestic_fares(spark, sf_dir):
-    return _plain(_domestic(spark, sf_dir)["fare_info"])
+    return _plain(_domestic(spark, sf_dir)["fare_info"].drop("file_path"))
 
 
 _DOMESTIC_ROLLUP = (
@@ -108,7 +112,7 @@ def stream_to_rollup(spark, sf_dir):
         airports(spark, sf_dir),
         warehouse,
         work_dir(spark, "streamed-checkpoint"),
-        max_files=max(4, spark.sparkContext.defaultParallelism),
+        max_files=CHUNK,
         files="domestic-*.json",
     )
     return _plain(warehouse.daily.read(spark))
@@ -159,26 +163,29 @@ fare AS (
 
 @query(_INTERNATIONAL + "SELECT * FROM flight")
 def international_flights(spark, sf_dir):
-    return _plain(_international(spark, sf_dir)["flight_info"])
+    return _plain(_international(spark, sf_dir)["flight_info"].drop(*_VERSION))
 
 
 @query(_INTERNATIONAL + "SELECT * FROM fare")
 def international_fares(spark, sf_dir):
-    return _plain(_international(spark, sf_dir)["fare_info"])
+    return _plain(_international(spark, sf_dir)["fare_info"].drop("file_path"))
 
 
-@query(
+_LAYOVERS = (
     _INTERNATIONAL
     + """
 SELECT full_air_id AS air_id, leg_id AS segment_id, CAST(n AS INTEGER) AS layover_order,
   CAST(60 + l_quantity AS INTEGER) AS connect_time
 FROM hop WHERE legs > 1"""
 )
+
+
+@query(_LAYOVERS)
 def international_layovers(spark, sf_dir):
-    return _international(spark, sf_dir)["layover_info"]
+    return _international(spark, sf_dir)["layover_info"].drop(*_VERSION)
 
 
-@query(
+_INTERNATIONAL_ROLLUP = (
     _INTERNATIONAL
     + """
 SELECT depart_airport, arrival_airport, depart_date, is_layover,
@@ -187,6 +194,38 @@ SELECT depart_airport, arrival_airport, depart_date, is_layover,
   CAST(quantile_disc(adult_fare, 0.5) AS INTEGER) AS median_price, count(*) AS ticket_count
 FROM flight JOIN fare USING (air_id) GROUP BY ALL"""
 )
+
+
+@query(_INTERNATIONAL_ROLLUP)
 def international_rollup(spark, sf_dir):
     tables = _international(spark, sf_dir)
     return _plain(daily_rollup(tables["flight_info"], tables["fare_info"]))
+
+
+def _streamed_international(spark, sf_dir, rollup):
+    warehouse = Warehouse(work_dir(spark, "streamed"), slots=8)
+    runs.run_folder(
+        spark,
+        runs.INTERNATIONAL,
+        international_feed(spark, sf_dir),
+        airports(spark, sf_dir),
+        warehouse,
+        work_dir(spark, "streamed-checkpoint"),
+        max_files=4 * CHUNK,
+        files="trip-*.json",
+        rollup=rollup,
+    )
+    return warehouse
+
+
+@query(_INTERNATIONAL_ROLLUP)
+def international_stream_to_rollup(spark, sf_dir):
+    """The same through the stored tables, some files at a time."""
+    return _plain(_streamed_international(spark, sf_dir, runs.REFRESH).daily.read(spark))
+
+
+@query(_LAYOVERS)
+def stored_layovers(spark, sf_dir):
+    """Layovers from the stored table, next to an append-only rollup."""
+    warehouse = _streamed_international(spark, sf_dir, runs.APPEND)
+    return warehouse.layovers.read(spark).drop(*_VERSION)

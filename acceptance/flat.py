@@ -52,9 +52,8 @@ def daily_rollup(spark, sf_dir):
     return daily.withColumns({c: F.col(c).cast("string") for c in ("depart_date", "fetched_date")})
 
 
-def _prices(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").withColumn("p", cents("l_extendedprice"))
-    return rollup.price_stats(lines, ["l_returnflag", "l_linestatus"], "p")
+def _priced_lines(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").withColumn("p", cents("l_extendedprice"))
 
 
 @query(
@@ -65,7 +64,7 @@ SELECT l_returnflag, l_linestatus,
 FROM lineitem GROUP BY ALL"""
 )
 def mean_trunc(spark, sf_dir):
-    return _prices(spark, sf_dir).drop("median_price")
+    return rollup.price_means(_priced_lines(spark, sf_dir), ["l_returnflag", "l_linestatus"], "p")
 
 
 @query(
@@ -75,7 +74,7 @@ SELECT l_returnflag, l_linestatus,
 FROM lineitem GROUP BY ALL"""
 )
 def median_lower(spark, sf_dir):
-    return _prices(spark, sf_dir).select("l_returnflag", "l_linestatus", "median_price")
+    return rollup.price_medians(_priced_lines(spark, sf_dir), ["l_returnflag", "l_linestatus"], "p")
 
 
 @query(
@@ -278,7 +277,7 @@ def parse_local_time(spark, sf_dir):
         F.date_format("ts", "yyyyMMddHHmm"),
     )
     return table(spark, sf_dir, "events").select(
-        "event_id", F.unix_micros(times.local_time(text)).alias("minute_us")
+        "event_id", F.unix_micros(times.local_time(text).cast("timestamp")).alias("minute_us")
     )
 
 

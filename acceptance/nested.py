@@ -49,17 +49,22 @@ def _international(spark, sf_dir):
 
 @query(
     f"""
-SELECT 'F' || o_orderkey AS flight, o_orderpriority AS airline, n_name AS city,
-  CAST(2 AS INTEGER) AS schedules
+SELECT 'F' || o_orderkey || '|F' || o_orderkey AS flights,
+  o_orderpriority || '|' || o_orderpriority AS airlines, {_SEAT} || '|C' AS seats,
+  n_name || '|' || n_name AS cities
 FROM {_PLACES}"""
 )
 def json_scan(spark, sf_dir):
-    first = F.get("data.domesticFlights.departures", F.lit(0))
+    """Every schedule of a document, with deep paths into the array."""
+
+    def all_of(field):
+        return F.array_join(f"data.domesticFlights.departures.{field}", "|")
+
     return _domestic(spark, sf_dir).select(
-        first["fitName"].alias("flight"),
-        first["airlineName"].alias("airline"),
-        first["depCity"].alias("city"),
-        F.size("data.domesticFlights.departures").alias("schedules"),
+        all_of("fitName").alias("flights"),
+        all_of("airlineName").alias("airlines"),
+        all_of("seatClass").alias("seats"),
+        all_of("depCity").alias("cities"),
     )
 
 
@@ -168,24 +173,21 @@ def map_code_filter(spark, sf_dir):
     _PLACED
     + """
 SELECT air_id, 'G' || l_linenumber AS agent, 'http://f.example/r?k=1' ||
-  CASE WHEN l_linestatus = 'F' THEN '&FareRuleItnInfo=a/b/' || l_returnflag ELSE '' END AS url
-FROM placed"""
+  CASE WHEN l_linestatus = 'F' THEN '&FareRuleItnInfo=a/b/' || l_returnflag ELSE '' END AS url, option
+FROM placed, (VALUES ('A01'), ('A02')) AS o(option)"""
 )
 def quoted_field(spark, sf_dir):
-    return (
-        _prices(spark, sf_dir)
-        .where("option = 'A02'")
-        .select(
-            "air_id",
-            F.col("fare.AgtCode").alias("agent"),
-            F.col("fare.priceTransparencyUrl.`#cdata-section`").alias("url"),
-        )
+    return _prices(spark, sf_dir).select(
+        "air_id",
+        F.col("fare.AgtCode").alias("agent"),
+        F.col("fare.priceTransparencyUrl.`#cdata-section`").alias("url"),
+        "option",
     )
 
 
 @query(
     f"""
-SELECT 'F' || o_orderkey AS flight, 'domestic' AS kind,
+SELECT 'F' || o_orderkey || '|F' || o_orderkey AS flights, 'domestic' AS kind,
   strftime(date_trunc('year', o_orderdate), 'day=%Y-%m-%d') AS folder
 FROM {_PLACES}"""
 )
@@ -194,7 +196,7 @@ def file_provenance(spark, sf_dir):
         "file_path", "/([^/]+)/([a-z]+)-[^/]*$", 2
     )
     return _domestic(spark, sf_dir).select(
-        F.get("data.domesticFlights.departures", F.lit(0))["fitName"].alias("flight"),
+        F.array_join("data.domesticFlights.departures.fitName", "|").alias("flights"),
         parts[1].alias("kind"),
         parts[0].alias("folder"),
     )
@@ -231,7 +233,7 @@ def path_parts(spark, sf_dir):
     )
     trip = elements(scanned, "data.internationalList.results.schedules", "t", ["file_path"])
     return trip.select(
-        F.get(F.map_keys("t"), F.lit(0)).alias("air_id"),
+        F.explode(F.map_keys("t")).alias("air_id"),
         keys.path_date("file_path").cast("string").alias("fetched_date"),
         keys.path_cabin("file_path").alias("cabin"),
     )
@@ -277,7 +279,7 @@ def _events_stream(spark, sf_dir):
         events_feed(spark, sf_dir),
         schemas.struct(fields),
         files="events-*.json",
-        max_files=max(4, spark.sparkContext.defaultParallelism),
+        max_files=4,
     )
     return feeds.records(stream).select("event_id", "user_id", "event_type", "ts_us", "props")
 

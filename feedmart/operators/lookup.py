@@ -8,6 +8,8 @@ joined by key, and adaptive execution splits the codes that hold much of the dat
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +27,14 @@ def lookup(
     """Add dimension columns (``take``: dimension column to new name) for the code in ``df``.
 
     Rows with an unknown code stay and get the default, or null. ``known`` names an optional flag
-    that tells whether the code was found. The dimension must be unique by its key.
+    that tells whether the code was found and no value taken from it is null. The dimension must be
+    unique by its key.
     """
     defaults = defaults or {}
     hit = "__hit"
     side = dim.select(
         F.col(dim_key).alias("__code"),
-        F.lit(True).alias(hit),
+        reduce(and_, [F.col(c).isNotNull() for c in take], F.lit(True)).alias(hit),
         *[F.col(c).alias(f"__{new}") for c, new in take.items()],
     )
     joined = df.join(side, F.col(code) == F.col("__code"), "left")

@@ -60,6 +60,52 @@ def price_stats(df: DataFrame, keys: Sequence[str], price: str = "adult_fare") -
     )
 
 
+def price_means(df: DataFrame, keys: Sequence[str], price: str = "adult_fare") -> DataFrame:
+    """``mean_price`` (truncated) and ``ticket_count`` per group, from partial sums in one shuffle."""
+    amount = F.col(price).cast("bigint")
+    sums = df.groupBy(*keys).agg(
+        F.sum(amount).alias("__sum"), F.count(amount).alias("__priced"), F.count("*").alias("ticket_count")
+    )
+    return sums.select(*keys, F.expr("__sum div nullif(__priced, 0)").alias("mean_price"), "ticket_count")
+
+
+def price_medians(
+    df: DataFrame, keys: Sequence[str], price: str = "adult_fare", range_bits: int = 12
+) -> DataFrame:
+    """Exact lower ``median_price`` of each group that has a price, for few groups with many prices.
+
+    Two levels: the range of 2 ** ``range_bits`` prices in which the running count reaches half, then
+    the price within it. No task sees more of a group than its ranges or the prices of one range.
+    """
+    prices = (
+        df.where(F.col(price).isNotNull())
+        .groupBy(F.struct(*keys).alias("__group"), F.col(price).cast("bigint").alias("__price"))
+        .agg(F.count("*").alias("__n"))
+        .withColumn("__range", F.shiftright("__price", range_bits))
+    )
+    ranges = prices.groupBy("__group", "__range").agg(F.sum("__n").alias("__in_range"))
+    by_range = Window.partitionBy("__group").orderBy("__range")
+    upto = F.sum("__in_range").over(by_range.rowsBetween(Window.unboundedPreceding, 0))
+    every = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    reached = ranges.withColumns(
+        {"__before": upto - F.col("__in_range"), "__all": F.sum("__in_range").over(every)}
+    ).where(
+        ((F.col("__before") + F.col("__in_range")) * 2 >= F.col("__all"))
+        & (F.col("__before") * 2 < F.col("__all"))
+    )
+    inside = prices.join(reached, ["__group", "__range"])
+    by_price = Window.partitionBy("__group", "__range").orderBy("__price")
+    so_far = F.col("__before") + F.sum("__n").over(by_price.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        inside.withColumn("__reached", so_far)
+        .where(
+            (F.col("__reached") * 2 >= F.col("__all"))
+            & ((F.col("__reached") - F.col("__n")) * 2 < F.col("__all"))
+        )
+        .select("__group.*", F.col("__price").alias("median_price"))
+    )
+
+
 def price_stats_sketch(
     df: DataFrame, keys: Sequence[str], price: str = "adult_fare", accuracy: int = 1_000_000
 ) -> DataFrame:
@@ -76,11 +122,12 @@ def price_stats_sketch(
 FLIGHT_KEYS = ROLLUP_KEYS[:5]
 
 
-def flight_groups(flights: DataFrame) -> DataFrame:
+def flight_groups(flights: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Each flight's part of the rollup key."""
     return flights.select(
         "air_id",
         *[labels.airline_label(F.col(k)).alias(k) if k == "airline" else k for k in FLIGHT_KEYS],
+        *carry,
     )
 
 

@@ -69,7 +69,8 @@ def schedules(raw: DataFrame, direction: str = "departures") -> DataFrame:
 def flights(base: DataFrame, airports: DataFrame) -> DataFrame:
     """One row per flight, with its times in UTC. An unknown airport counts as UTC; ``tz_known``
     tells."""
-    single = newest(base.drop("fare", "seat_class"), ["air_id"], NEWEST)
+    keyed = base.where(F.col("air_id").isNotNull())
+    single = newest(keyed.drop("fare", "seat_class"), ["air_id"], NEWEST)
     return with_utc(single, airports).select(
         "air_id",
         "airline",
@@ -83,11 +84,16 @@ def flights(base: DataFrame, airports: DataFrame) -> DataFrame:
         F.lit(False).alias("is_layover"),
         F.to_date("depart_local_ts").alias("depart_date"),
         (F.col("dep_known") & F.col("arr_known")).alias("tz_known"),
+        "fetched_date",
+        F.lit(True).alias("listed"),
+        "file_path",
     )
 
 
 def with_utc(df: DataFrame, airports: DataFrame) -> DataFrame:
-    """Add the zones of both airports, with UTC for an unknown one."""
+    """Add the zones of both airports, with UTC for an unknown airport and for a zone that is missing
+    or does not exist."""
+    airports = airports.withColumn("time_zone", times.real_zone("time_zone"))
     for end, code in (("dep", "depart_airport"), ("arr", "arrival_airport")):
         df = lookup(
             df,
@@ -103,7 +109,8 @@ def with_utc(df: DataFrame, airports: DataFrame) -> DataFrame:
 
 def fares(base: DataFrame) -> DataFrame:
     """One row per flight, class, agent and crawl day. Flights without fares give none."""
-    rows = elements(base, "fare", "f", ["air_id", "seat_class", "fetched_date", "file_path"])
+    keyed = base.where(F.col("air_id").isNotNull())
+    rows = elements(keyed, "fare", "f", ["air_id", "seat_class", "fetched_date", "file_path"])
     priced = rows.select(
         "air_id",
         "seat_class",
@@ -115,7 +122,13 @@ def fares(base: DataFrame) -> DataFrame:
         F.lit("n").alias("fare_class"),
         "file_path",
     )
-    return newest(priced, FARE_KEYS, ["file_path"]).drop("file_path")
+    return newest(priced, FARE_KEYS, ["file_path"])
+
+
+def unkeyed(base: DataFrame) -> DataFrame:
+    """The schedules that lack a part of their key, one by one. They go to no table: without the key
+    nothing tells them apart."""
+    return base.where(F.col("air_id").isNull()).select("file_path", F.to_json(F.struct("*")).alias("record"))
 
 
 def tables(raw: DataFrame, airports: DataFrame, direction: str = "departures") -> dict[str, DataFrame]:

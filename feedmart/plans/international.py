@@ -105,11 +105,9 @@ def flights(known_trips: DataFrame) -> DataFrame:
     """One row per itinerary and per leg of a connection. Where a leg is also listed as an
     itinerary, the newest report counts, and of equally new ones the itinerary."""
     reports = itinerary.flights(known_trips, ["fetched_date", "file_path"])
-    return (
-        newest(reports, ["air_id"], ["fetched_date", "listed", "file_path"])
-        .drop("listed", "fetched_date", "file_path")
-        .withColumn("depart_date", F.to_date("depart_local_ts"))
-    )
+    return newest(
+        reports.where(F.col("air_id").isNotNull()), ["air_id"], ["fetched_date", "listed", "file_path"]
+    ).withColumn("depart_date", F.to_date("depart_local_ts"))
 
 
 def fares(
@@ -134,12 +132,20 @@ def fares(
         keys.url_param_part("fare.priceTransparencyUrl.`#cdata-section`").alias("fare_class"),
         "file_path",
     )
-    single = newest(rows, FARE_KEYS, ["file_path"]).drop("file_path")
+    single = newest(rows, FARE_KEYS, ["file_path"])
     return having_key(single, itinerary.air_ids(known_trips), "air_id")
 
 
 def layovers(known_trips: DataFrame) -> DataFrame:
-    return itinerary.layovers(known_trips)
+    return itinerary.layovers(known_trips, ["fetched_date", "file_path"])
+
+
+def unkeyed(known_trips: DataFrame) -> DataFrame:
+    """The legs whose position is beyond the parts of their itinerary's id, one by one."""
+    found = legs(known_trips).where(keys.is_connection("full_air_id"))
+    return found.where(keys.leg_id("full_air_id", "ord").isNull()).select(
+        "file_path", F.to_json(F.struct("*")).alias("record")
+    )
 
 
 def tables(raw: DataFrame, airports: DataFrame) -> dict[str, DataFrame]:

@@ -41,15 +41,25 @@ def by_hash(keys: Sequence[str], slots: int) -> Slot:
 
 
 def by_leading_month(key: str, slots: int) -> Slot:
-    """Partitions by the month of a key that starts with ``yyyyMMdd``, so that new data leaves past
-    months alone; other keys go to ``slots`` hash partitions."""
-    month = f"left(nullif(regexp_extract({key}, '^[0-9]{{8}}', 0), ''), 6)"
+    """Partitions by the month of a key that starts with a day of the years 1970 to 2099 as
+    ``yyyyMMdd``, so that new data leaves past months alone; all other keys go to ``slots`` hash
+    partitions. So there are 1560 months at most, whatever the keys look like."""
+    day = f"try_to_date(regexp_extract({key}, '^(19[7-9]|20[0-9])[0-9]{{5}}', 0), 'yyyyMMdd')"
+    month = f"date_format({day}, 'yyyyMM')"
     return Slot(
         f"month_or_slot_of_{slots}",
         f"coalesce({month}, concat('h', pmod(xxhash64({key}), {slots})))",
     )
 
 
+def by_day_and_hash(day: str, key: str, slots: int) -> Slot:
+    """Partitions by a day and, within it, by the hash of a key: either alone narrows a scan."""
+    return Slot(
+        f"day_and_slot_of_{slots}",
+        f"concat(coalesce(cast({day} as string), 'none'), '_', pmod(xxhash64({key}), {slots}))",
+    )
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """One row per key below ``path``.
@@ -72,6 +82,10 @@ class KeyedTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark).select(*self.schema.names)
 
+    def read_where(self, spark: SparkSession, in_slot: Column) -> DataFrame:
+        """The stored rows in the partitions of which a condition on the slot column is true."""
+        return self._stored(spark).where(in_slot).select(*self.schema.names)
+
     def read_slots_of(self, rows: DataFrame) -> DataFrame:
         """The stored rows in the partitions that the keys of ``rows`` fall in."""
         slots = self._slots_of(self._slotted(rows))

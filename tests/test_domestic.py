@@ -53,9 +53,42 @@ def test_unknown_seat_code_and_unknown_airport(spark, tmp_path, rows):
     ]
 
 
-def test_null_key_part_gives_null_key(spark, tmp_path, rows):
-    out = build(spark, tmp_path, fx.domestic_doc({**fx.schedule(), "fitName": None}))
-    assert rows(out["flight_info"], "air_id") == [(None,)]
+def test_schedules_without_a_key_are_kept_apart(spark, tmp_path, rows):
+    nameless = [{**fx.schedule(dep=dep), "fitName": None} for dep in ("GMP", "ICN", "NRT")]
+    folder = fx.write(tmp_path, "2025-05-29", "domestic", "0_domestic.json", fx.domestic_doc(*nameless))
+    base = domestic.schedules(raw(spark, folder))
+    out = domestic.tables_of(base, fx.airports(spark))
+    assert rows(out["flight_info"], "air_id") == []
+    assert rows(out["fare_info"], "air_id") == []
+    assert domestic.unkeyed(base).select("record").distinct().count() == 3
+
+
+def test_times_do_not_follow_the_session_zone(spark, tmp_path, rows):
+    docs = fx.domestic_doc(fx.schedule(at="202505300030", until="202505300140"))
+    wanted = ("unix_micros(depart_timestamp)", "cast(depart_date as string)", "cast(depart_local_ts as string)")
+    found = []
+    for zone in ("UTC", "Asia/Seoul", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            found.append(build(spark, tmp_path, docs)["flight_info"].selectExpr(*wanted).collect())
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found[0] == found[1] == found[2]
+    assert found[0][0][1] == "2025-05-30"
+
+
+def test_missing_and_impossible_zones_count_as_utc(spark, tmp_path, rows):
+    folder = fx.write(
+        tmp_path, "2025-05-29", "domestic", "0_domestic.json",
+        fx.domestic_doc(fx.schedule(number="1", dep="AAA"), fx.schedule(number="2", dep="BBB")),
+    )
+    more = spark.createDataFrame(
+        [("AAA", "A", "X", None), ("BBB", "B", "X", "Mars/Olympus")], fx.airports(spark).schema
+    )
+    out = domestic.tables(raw(spark, folder), fx.airports(spark).union(more))
+    assert rows(out["flight_info"], "depart_timestamp", "tz_known") == [
+        (dt.datetime(2025, 5, 30, 6, 0), False)
+    ] * 2
 
 
 def test_bad_text_gives_null_and_does_not_fail(spark, tmp_path, rows):

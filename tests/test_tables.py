@@ -46,6 +46,15 @@ def test_other_layouts(spark, table, rows, slot):
     ]
 
 
+def test_only_days_make_month_partitions(spark, table):
+    t = table(by_leading_month("k", 2))
+    keys = ["99999999X", "12345678-1", "00000000", "20250231A", "20250228A", None]
+    t.upsert(frame(spark, *[(k, D1, 1, 0) for k in keys]))
+    slots = {r[0] for r in t._stored(spark).select(t.slot.name).distinct().collect()}
+    assert {str(s) for s in slots if not str(s).startswith("h")} == {"202502"}
+    assert t.read(spark).count() == len(keys)
+
+
 def test_null_key_parts_are_found_again(spark, table, rows):
     t = table()
     for price in (1, 2):
