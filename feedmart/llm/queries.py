@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmart.llm import cotraining, decontaminate, html_main, license_scan, lm, mixing, quality_rules, simhash, toxicity, warc
+from feedmart.llm import (
+    cotraining,
+    decontaminate,
+    exact_dedup,
+    filter_audit,
+    html_main,
+    license_scan,
+    lm,
+    mixing,
+    quality_rules,
+    simhash,
+    toxicity,
+    warc,
+)
 from feedmart.llm.common import crc_bucket, ship
 from feedmart.session import pin
 
@@ -156,3 +169,65 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query(EXACT_SQL)
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
+AUDIT_SQL = r"""
+WITH l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id
+), w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), f AS (
+  SELECT w.doc_id, part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+    [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t), regexp_matches(t, '[#$%&*|]'),
+     coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)] AS fails
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id
+), m AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_bad
+  FROM f GROUP BY part, fails
+), letter AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+), orders AS (
+  SELECT a.c || b.c || d.c || e.c || g.c AS filter_order
+  FROM letter AS a, letter AS b, letter AS d, letter AS e, letter AS g
+  WHERE len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5
+), first AS (
+  SELECT part, fails, n, n_good, n_bad, filter_order, list_min([CASE
+      WHEN fails[ascii(substr(filter_order, CAST(k AS INT), 1)) - 64] THEN k ELSE 6 END FOR k IN range(1, 6)]) AS hit
+  FROM m, orders
+), step AS (
+  SELECT *, ascii(substr(filter_order, CAST(step AS INT), 1)) - 64 AS own FROM first, (SELECT unnest(range(1, 6)) AS step)
+), s AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, own,
+    sum(CASE WHEN hit > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN hit = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails[own] AND hit < step THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails[own] AND len([x FOR x IN fails IF x]) = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit = step THEN n_good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN hit = step THEN n_bad ELSE 0 END) AS toxic_lost
+  FROM step GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM s
+"""
+
+
+@query(AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
