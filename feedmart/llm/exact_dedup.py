@@ -49,6 +49,8 @@ def suspects(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
         rows.select(_token().alias("token"), (F.spark_partition_id() % SHARDS).alias("shard"))
         .groupBy("shard")
         .agg(F.expr(f"approx_top_k_accumulate(token, {tracked})").alias("summary"))
+        # by a key that all shards share: Spark cannot combine the summary of a task without rows
+        .groupBy(F.col("shard") < 0)
         .agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
     )
     frequent = counted.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {tracked})")).alias("_"))
