@@ -19,6 +19,7 @@ from feedmart.llm import (
     quality_rules,
     simhash,
     toxicity,
+    vector_codes,
     warc,
 )
 from feedmart.llm.common import crc_bucket, ship
@@ -231,3 +232,8 @@ FROM s
 @query(AUDIT_SQL)
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
