@@ -32,6 +32,12 @@ def price_stats(df: DataFrame, keys: Sequence[str], price: str = "adult_fare") -
     prices = df.groupBy(*keys, F.col(price).cast("bigint").alias("__price")).agg(
         F.count("*").alias("__n")
     )
+    return stats_of_counts(prices, keys, "__price", "__n")
+
+
+def stats_of_counts(counts: DataFrame, keys: Sequence[str], price: str, n: str) -> DataFrame:
+    """The same from rows that are counted per group and price already."""
+    prices = counts.select(*keys, F.col(price).cast("bigint").alias("__price"), F.col(n).alias("__n"))
     # Both frames share one order, so that one sort and one window serve them. The hash comes first
     # because the sort mostly decides by the leading column.
     by_price = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(F.col("__price").asc_nulls_last())
@@ -137,7 +143,15 @@ def priced_flights(groups: DataFrame, fares: DataFrame) -> DataFrame:
 
 
 def by_group(priced: DataFrame, exact: bool = True) -> DataFrame:
-    stats = (price_stats if exact else price_stats_sketch)(priced, ROLLUP_KEYS)
+    return _as_rollup((price_stats if exact else price_stats_sketch)(priced, ROLLUP_KEYS))
+
+
+def of_counts(counts: DataFrame) -> DataFrame:
+    """The rollup of a table of price counts (rollup keys, adult_fare, n)."""
+    return _as_rollup(stats_of_counts(counts, ROLLUP_KEYS, "adult_fare", "n"))
+
+
+def _as_rollup(stats: DataFrame) -> DataFrame:
     return stats.select(
         *ROLLUP_KEYS,
         F.col("mean_price").cast("int").alias("mean_price"),
@@ -146,6 +160,25 @@ def by_group(priced: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
+def count_changes(fares: DataFrame, moved_fares: DataFrame | None = None) -> DataFrame:
+    """Signed changes of the price counts: (rollup keys, adult_fare, n), n never 0.
+
+    ``fares`` are fares with their flight's group: ``was`` and ``was_price`` (null if they did not count
+    before), ``now`` and ``adult_fare``. ``moved_fares`` are further fares whose flight went from ``was`` to
+    ``now`` and whose price stays. A fare that stays as it is adds nothing.
+    """
+    rest = ["seat_class", "fare_class", "fetched_date"]
+    if moved_fares is not None:
+        one = F.struct(F.col("adult_fare").alias("price"))
+        fares = fares.unionByName(moved_fares.withColumn("was_price", one))
+    gone = F.struct("was", F.col("was_price.price").alias("price"), F.lit(-1).alias("n"))
+    come = F.struct(F.col("now").alias("was"), F.col("adult_fare").alias("price"), F.lit(1).alias("n"))
+    counted = F.col("was").isNotNull() & F.col("was_price").isNotNull()
+    both = F.when(counted, F.array(gone, come)).otherwise(F.array(come))
+    rows = fares.select(*rest, F.inline(both)).select("was.*", *rest, F.col("price").alias("adult_fare"), "n")
+    return rows.groupBy(*ROLLUP_KEYS, "adult_fare").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
 def daily_rollup(flights: DataFrame, fares: DataFrame, exact: bool = True) -> DataFrame:
     """Mean, median and count of fares by route, day, kind, airline, class and crawl day.
 

@@ -7,17 +7,21 @@ row-level operations is at hand, ``merge_into`` leaves the work to it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import time
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from feedmart.operators.dedupe import newest
-from feedmart.operators.keyed import newer_in, without
+from feedmart.operators.keyed import marked, same_key, without
 from feedmart.session import reused
 
 
@@ -66,7 +70,7 @@ class KeyedTable:
 
     ``version`` names columns that order the versions of a row. With it, an older version never
     replaces a newer one, in whatever order they arrive; without it, the last upsert wins.
-    One writer at a time.
+    One writer at a time; see ``Lease``.
     """
 
     path: str
@@ -80,18 +84,14 @@ class KeyedTable:
         return f"{self.path.rstrip('/')}_staging"
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._stored(spark).select(*self.schema.names)
+        return self.stored(spark).select(*self.schema.names)
 
     def read_where(self, spark: SparkSession, in_slot: Column) -> DataFrame:
         """The stored rows in the partitions of which a condition on the slot column is true."""
-        return self._stored(spark).where(in_slot).select(*self.schema.names)
+        return self.stored(spark).where(in_slot).select(*self.schema.names)
 
-    def read_slots_of(self, rows: DataFrame) -> DataFrame:
-        """The stored rows in the partitions that the keys of ``rows`` fall in."""
-        slots = self._slots_of(self._slotted(rows))
-        return self._stored(rows.sparkSession).where(self._in_slots(slots)).select(
-            *self.schema.names
-        )
+    def read_slots(self, spark: SparkSession, slots: list) -> DataFrame:
+        return self.read_where(spark, self.in_slots(slots))
 
     def upsert(
         self, updates: DataFrame, order: Sequence[Column | str] = (), landed: bool = False
@@ -103,57 +103,82 @@ class KeyedTable:
         """
         updates = updates.select(*self.schema.names)
         if landed:
-            self._merge(self._slotted(updates))
-            return
-        single = newest(updates, self.keys, [*self.version, *order])
-        with reused(self._slotted(single)) as new:
-            self._merge(new)
-
-    def _merge(self, new: DataFrame) -> None:
-        spark = new.sparkSession
-        self.recover(spark)
-        slots = self._slots_of(new)
-        current = self._stored(spark).where(self._in_slots(slots))
-        if not self.version:
-            self._publish(without(current, new, self.keys).unionByName(new), slots)
+            self._rewrite(updates.sparkSession, updates, self.merged)
             return
-        newer = newer_in(current, new, self.keys, self.version)
-        with reused(without(new, newer, self.keys)) as wanted:
-            self._publish(without(current, wanted, self.keys).unionByName(wanted), slots)
+        with reused(newest(updates, self.keys, [*self.version, *order])) as new:
+            self._rewrite(updates.sparkSession, new, self.merged)
 
     def replace(self, touched: DataFrame, rows: DataFrame) -> None:
         """Remove the keys in ``touched`` and add ``rows``, whose keys are among them.
 
         ``touched`` is read twice, so it should be kept or lie in files.
         """
-        spark = touched.sparkSession
-        self.recover(spark)
-        gone = self._slotted(touched.select(*self.keys))
-        slots = self._slots_of(gone)
-        current = self._stored(spark).where(self._in_slots(slots))
-        fresh = self._slotted(rows.select(*self.schema.names))
-        self._publish(without(current, gone, self.keys).unionByName(fresh), slots)
+
+        def content(gone: DataFrame, slots: list) -> DataFrame:
+            current = self.read_slots(touched.sparkSession, slots)
+            return without(current, gone, self.keys).unionByName(rows.select(*self.schema.names))
+
+        self._rewrite(touched.sparkSession, touched.select(*self.keys), content)
+
+    def merged(self, offered: DataFrame, slots: list) -> DataFrame:
+        """What the partitions ``slots`` hold once ``offered``, unique by key, has come in.
+
+        Three further columns tell how: ``__offered``, ``__changed`` (the offered row is the newer one),
+        and ``__before``, the row as stored.
+        """
+        current = self.read_slots(offered.sparkSession, slots)
+        names = self.schema.names
+        left = current.select(*self.keys, F.struct(*names).alias("__before"))
+        right = marked(offered, self.keys, F.struct(*names).alias("__new"))
+        both = left.join(right, same_key(self.keys), "full_outer")
+        changed = F.col("__new").isNotNull()
+        if self.version:
+            old, new = (F.struct(*[F.col(side)[v] for v in self.version]) for side in ("__before", "__new"))
+            changed &= F.col("__before").isNull() | ~(old > new)
+        return both.select(
+            F.when(changed, F.col("__new")).otherwise(F.col("__before")).alias("__row"),
+            F.col("__new").isNotNull().alias("__offered"),
+            changed.alias("__changed"),
+            "__before",
+        ).select("__row.*", "__offered", "__changed", "__before")
 
     def recover(self, spark: SparkSession) -> None:
         """Finish a publication that the driver did not live to finish."""
-        staging = Folder(spark, self.staging)
-        if staging.child("_SUCCESS").exists():
-            self._move_in(spark, staging.partitions())
-            staging.delete()
+        Publication(spark, self.staging).publish({"table": self})
+
+    def _rewrite(self, spark: SparkSession, keyed: DataFrame, content) -> None:
+        self.recover(spark)
+        out = Publication(spark, self.staging)
+        slots = self.slots_of(keyed)
+        out.stage("table", self, content(keyed, slots), slots)
+        out.mark()
+        out.publish({"table": self})
 
     # -- partitions ----------------------------------------------------------------------------
 
-    def _slotted(self, df: DataFrame) -> DataFrame:
+    def slotted(self, df: DataFrame) -> DataFrame:
         if self.slot.expression is None:
             return df
         value = F.expr(self.slot.expression).cast(self.slot.type_name)
         return df.withColumn(self.slot.name, value)
 
-    def _stored(self, spark: SparkSession) -> DataFrame:
+    def slots_of(self, df: DataFrame) -> list:
+        """The partitions the rows fall in: at most as many values as the table has partitions."""
+        return [row[0] for row in self.slotted(df).select(self.slot.name).distinct().collect()]
+
+    def in_slots(self, slots: list) -> Column:
+        inside = F.col(self.slot.name).isin([s for s in slots if s is not None])
+        return inside | F.col(self.slot.name).isNull() if None in slots else inside
+
+    def stored_schema(self) -> StructType:
         fields = list(self.schema.fields)
         if self.slot.expression is not None:
             fields += StructType.fromDDL(f"{self.slot.name} {self.slot.type_name}").fields
-        full = StructType([StructField(f.name, f.dataType) for f in fields])
+        return StructType([StructField(f.name, f.dataType) for f in fields])
+
+    def stored(self, spark: SparkSession) -> DataFrame:
+        """The stored rows with the partition column."""
+        full = self.stored_schema()
         table = Folder(spark, self.path)
         if not table.exists():
             return spark.createDataFrame([], full)
@@ -162,49 +187,93 @@ class KeyedTable:
             raise ValueError(f"{self.path} is partitioned otherwise: {others[0]}")
         return spark.read.schema(full).parquet(self.path).select(*full.names)
 
-    def _slots_of(self, df: DataFrame) -> list:
-        """The partitions the rows fall in: at most as many values as the table has partitions."""
-        return [row[0] for row in df.select(self.slot.name).distinct().collect()]
 
-    def _in_slots(self, slots: list) -> Column:
-        inside = F.col(self.slot.name).isin([s for s in slots if s is not None])
-        return inside | F.col(self.slot.name).isNull() if None in slots else inside
+class Publication:
+    """New partitions of one or more tables: written aside, marked as whole, then brought in.
+
+    ``stage`` writes the whole new content of partitions and changes no table. ``mark`` says that all of
+    it is there. ``publish`` has Spark overwrite just those partitions, by whatever committer the store
+    has, removes the partitions that are empty now, and clears the staged files. A run that is cut short
+    before the mark has changed nothing; after it, ``publish`` can be repeated until it comes through.
+    """
 
-    # -- publication ---------------------------------------------------------------------------
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark = spark
+        self._folder = Folder(spark, folder)
+        self._path = folder
+        self._emptied: dict[str, list[str]] = {}
+
+    def stage(self, name: str, table: KeyedTable, rows: DataFrame, slots: list) -> DataFrame:
+        """Write the new content of ``slots``, and return it with any further columns it has."""
+        if not self._emptied:
+            self._folder.delete()
+        path = f"{self._path}/{name}"
+        rows = table.slotted(rows)
+        rows.hint("rebalance", table.slot.name).write.mode("overwrite").partitionBy(table.slot.name).parquet(path)
+        filled = set(Folder(self._spark, path).partitions())
+        self._emptied[name] = [
+            n for n in Folder(self._spark, table.path).partitions() if n not in filled and _value_of(n) in set(map(_text_of, slots))
+        ]
+        reached(f"staged {name}")
+        return self._spark.read.schema(rows.schema).parquet(path)
+
+    def mark(self) -> None:
+        self._folder.child("_STAGED").write_new(json.dumps(self._emptied))
+        reached("marked")
+
+    def publish(self, tables: Mapping[str, KeyedTable]) -> bool:
+        """Bring in what is marked, if anything is; true if so."""
+        mark = self._folder.child("_STAGED")
+        if not mark.exists():
+            return False
+        for name, emptied in json.loads(mark.text()).items():
+            table = tables[name]
+            schema = table.stored_schema()
+            rows = self._spark.read.schema(schema).parquet(f"{self._path}/{name}").select(*schema.names)
+            (
+                rows.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(table.slot.name)
+                .parquet(table.path)
+            )
+            reached(f"published {name}")
+            for partition in emptied:
+                Folder(self._spark, table.path).child(partition).delete()
+            reached(f"emptied {name}")
+        mark.delete()
+        reached("unmarked")
+        self._folder.delete()
+        return True
+
+
+def reached(step: str) -> None:
+    """Called between the steps of a publication; tests cut it short here."""
+
+
+@contextmanager
+def lease(spark: SparkSession, path: str, owner: str, patience: float = 600, stale: float = 6 * 3600) -> Iterator[None]:
+    """Hold the right to write, or raise ``Held`` after ``patience`` seconds.
+
+    The right is a file that one writer manages to create. Its owner, running again after a failure, takes
+    its own file over; another one may do so once the file is ``stale`` seconds old.
+    """
+    file = Folder(spark, path)
+    give_up = time.monotonic() + patience
+    while not file.write_new(owner):
+        holder, age = file.text_if_there(), file.age()
+        if holder == owner or age is not None and age > stale:
+            break
+        if time.monotonic() >= give_up:
+            raise Held(f"{path} is held by {holder}")
+        time.sleep(min(1.0, max(0.0, give_up - time.monotonic())))
+    try:
+        yield
+    finally:
+        file.delete()
 
-    def _publish(self, rows: DataFrame, slots: list) -> None:
-        """Write the new partitions to the staging folder, then swap them in.
 
-        The swap moves folders and no data. Until a partition is swapped its rows lie in staging,
-        so nothing is lost if the driver dies in between; ``recover`` does the rest.
-        """
-        spark = rows.sparkSession
-        (
-            rows.hint("rebalance", self.slot.name)
-            .write.mode("overwrite")
-            .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-            .partitionBy(self.slot.name)
-            .parquet(self.staging)
-        )
-        staging = Folder(spark, self.staging)
-        filled = staging.partitions()
-        self._move_in(spark, filled)
-        for name in self._folder_names(spark, slots):
-            if name not in filled:
-                Folder(spark, self.path).child(name).delete()
-        staging.delete()
-
-    def _move_in(self, spark: SparkSession, partitions: list[str]) -> None:
-        table, staging = Folder(spark, self.path), Folder(spark, self.staging)
-        table.create()
-        for name in partitions:
-            table.child(name).delete()
-            staging.child(name).move_to(table.child(name))
-
-    def _folder_names(self, spark: SparkSession, slots: list) -> list[str]:
-        stored = Folder(spark, self.path).partitions()
-        texts = {"__HIVE_DEFAULT_PARTITION__" if s is None else str(s) for s in slots}
-        return [name for name in stored if unquote(name.partition("=")[2]) in texts]
+class Held(RuntimeError):
+    """Another writer has the right to write."""
 
 
 def merge_into(updates: DataFrame, table: str, keys: Sequence[str]) -> None:
@@ -228,7 +297,7 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 class Folder:
-    """A folder of whatever file system its path names."""
+    """A folder or file of whatever file system its path names."""
 
     def __init__(self, spark: SparkSession, path: str):
         self._spark = spark
@@ -243,19 +312,57 @@ class Folder:
     def exists(self) -> bool:
         return self._fs.exists(self._path)
 
-    def create(self) -> None:
-        self._fs.mkdirs(self._path)
-
     def delete(self) -> None:
         self._fs.delete(self._path, True)
 
-    def move_to(self, other: Folder) -> None:
-        if not self._fs.rename(self._path, other._path):
-            raise OSError(f"cannot move {self._path.toString()}")
+    def names(self) -> list[str]:
+        """Names of what lies directly below."""
+        if not self.exists():
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path)]
 
     def partitions(self) -> list[str]:
         """Names of the partition folders directly below."""
-        if not self.exists():
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path)]
-        return [n for n in names if "=" in n]
+        return [n for n in self.names() if "=" in n]
+
+    def write_new(self, text: str) -> bool:
+        """Create the file with a short text; false if it is there already."""
+        try:
+            out = self._fs.create(self._path, False)
+        except Py4JJavaError as e:
+            if self.exists():
+                return False
+            raise e
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        return True
+
+    def text(self) -> str:
+        stream = self._fs.open(self._path)
+        try:
+            return self._spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def text_if_there(self) -> str | None:
+        try:
+            return self.text()
+        except Py4JJavaError:
+            if self.exists():
+                raise
+            return None
+
+    def age(self) -> float | None:
+        """Seconds since the last change."""
+        try:
+            return time.time() - self._fs.getFileStatus(self._path).getModificationTime() / 1000
+        except Py4JJavaError:
+            return None
+
+
+def _value_of(partition: str) -> str:
+    return unquote(partition.partition("=")[2])
+
+
+def _text_of(slot) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if slot is None else str(slot)

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from feedmart.sources import tables
 from feedmart.sources.tables import Folder, KeyedTable, append_batch, by_column, by_hash, by_leading_month
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -50,7 +51,7 @@ def test_only_days_make_month_partitions(spark, table):
     t = table(by_leading_month("k", 2))
     keys = ["99999999X", "12345678-1", "00000000", "20250231A", "20250228A", None]
     t.upsert(frame(spark, *[(k, D1, 1, 0) for k in keys]))
-    slots = {r[0] for r in t._stored(spark).select(t.slot.name).distinct().collect()}
+    slots = {r[0] for r in t.stored(spark).select(t.slot.name).distinct().collect()}
     assert {str(s) for s in slots if not str(s).startswith("h")} == {"202502"}
     assert t.read(spark).count() == len(keys)
 
@@ -101,24 +102,76 @@ def test_replace_removes_keys_and_emptied_partitions(spark, table, rows, tmp_pat
     assert not (tmp_path / "t" / "day=2025-01-02").exists()
 
 
-def test_interrupted_publication_is_finished(spark, table, rows, monkeypatch):
+STEPS = ["staged table", "marked", "published table", "emptied table", "unmarked"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_an_upsert_cut_short_is_finished_or_repeated(spark, table, rows, monkeypatch, step):
     t = table()
     t.upsert(frame(spark, ("a", D1, 1, 0), ("c", D2, 3, 0)))
-    moves = []
 
-    def dies(self, other):
-        if moves:
+    def dies(at):
+        if at == step:
             raise OSError("driver lost")
-        moves.append(other)
-        return original(self, other)
 
-    original = Folder.move_to
-    monkeypatch.setattr(Folder, "move_to", dies)
+    monkeypatch.setattr(tables, "reached", dies)
+    update = frame(spark, ("a", D1, 2, 0), ("d", D2, 4, 0))
     with pytest.raises(OSError):
-        t.upsert(frame(spark, ("a", D1, 2, 0), ("d", D2, 4, 0)))
+        t.upsert(update)
     monkeypatch.undo()
-    t.recover(spark)
+    if step != "staged table":
+        t.recover(spark)
+        assert rows(t.read(spark)) == [("a", D1, 2, 0), ("c", D2, 3, 0), ("d", D2, 4, 0)]
+    t.upsert(update)
     assert rows(t.read(spark)) == [("a", D1, 2, 0), ("c", D2, 3, 0), ("d", D2, 4, 0)]
+    assert not Folder(spark, t.staging).exists()
+
+
+def test_a_lost_partition_comes_back_from_the_staged_files(spark, table, rows, monkeypatch):
+    t = table()
+    t.upsert(frame(spark, ("a", D1, 1, 0), ("b", D1, 2, 0)))
+
+    def dies(at):
+        if at == "marked":
+            raise OSError("driver lost")
+
+    monkeypatch.setattr(tables, "reached", dies)
+    with pytest.raises(OSError):
+        t.upsert(frame(spark, ("a", D1, 5, 0)))
+    monkeypatch.undo()
+    Folder(spark, t.path).child("day=2025-01-01").delete()  # as a committer that dies between its steps leaves it
+    t.recover(spark)
+    assert rows(t.read(spark)) == [("a", D1, 5, 0), ("b", D1, 2, 0)]
+
+
+def test_merged_tells_what_changes(spark, table, rows):
+    t = table(version=("seen",))
+    t.upsert(frame(spark, ("a", D1, 1, 5), ("b", D1, 2, 5), ("c", D1, 3, 5)))
+    out = t.merged(frame(spark, ("a", D1, 9, 6), ("b", D1, 9, 4), ("n", D1, 9, 1)), [D1])
+    assert rows(out, "k", "price", "__offered", "__changed", "__before.price") == [
+        ("a", 9, True, True, 1), ("b", 2, True, False, 2), ("c", 3, False, False, 3), ("n", 9, True, True, None)
+    ]
+
+
+def test_one_writer_at_a_time(spark, tmp_path):
+    path = str(tmp_path / "w" / "_writer")
+    with tables.lease(spark, path, "domestic"):
+        with pytest.raises(tables.Held, match="domestic"), tables.lease(spark, path, "international", patience=0):
+            pass
+        assert Folder(spark, path).text() == "domestic"
+    with tables.lease(spark, path, "international", patience=0):
+        pass
+    assert not Folder(spark, path).exists()
+
+
+def test_a_lost_writer_is_followed(spark, tmp_path):
+    path = str(tmp_path / "_writer")
+    Folder(spark, path).write_new("domestic")
+    with tables.lease(spark, path, "domestic", patience=0):  # the same feed, started again
+        pass
+    Folder(spark, path).write_new("domestic")
+    with tables.lease(spark, path, "international", patience=0, stale=-1):
+        pass
 
 
 def test_changed_layout_is_refused(spark, table):
