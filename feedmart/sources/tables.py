@@ -120,11 +120,11 @@ class KeyedTable:
 
         self._rewrite(touched.sparkSession, touched.select(*self.keys), content)
 
-    def merged(self, offered: DataFrame, slots: list) -> DataFrame:
+    def merged(self, offered: DataFrame, slots: list, before: Sequence[str] = ()) -> DataFrame:
         """What the partitions ``slots`` hold once ``offered``, unique by key, has come in.
 
         Three further columns tell how: ``__offered``, ``__changed`` (the offered row is the newer one),
-        and ``__before``, the row as stored.
+        and ``__before``, the columns ``before`` of the row as stored, null for a new row.
         """
         current = self.read_slots(offered.sparkSession, slots)
         names = self.schema.names
@@ -139,7 +139,7 @@ class KeyedTable:
             F.when(changed, F.col("__new")).otherwise(F.col("__before")).alias("__row"),
             F.col("__new").isNotNull().alias("__offered"),
             changed.alias("__changed"),
-            "__before",
+            F.when(F.col("__before").isNotNull(), F.struct(*[F.col("__before")[c].alias(c) for c in before or self.keys])).alias("__before"),
         ).select("__row.*", "__offered", "__changed", "__before")
 
     def recover(self, spark: SparkSession) -> None:
@@ -181,7 +181,8 @@ class KeyedTable:
         full = self.stored_schema()
         table = Folder(spark, self.path)
         if not table.exists():
-            return spark.createDataFrame([], full)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields]
+            return spark.range(1).select(*nothing).limit(0)  # the optimizer knows it to be empty
         others = [p for p in table.partitions() if not p.startswith(f"{self.slot.name}=")]
         if others:
             raise ValueError(f"{self.path} is partitioned otherwise: {others[0]}")

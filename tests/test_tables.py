@@ -147,7 +147,7 @@ def test_a_lost_partition_comes_back_from_the_staged_files(spark, table, rows, m
 def test_merged_tells_what_changes(spark, table, rows):
     t = table(version=("seen",))
     t.upsert(frame(spark, ("a", D1, 1, 5), ("b", D1, 2, 5), ("c", D1, 3, 5)))
-    out = t.merged(frame(spark, ("a", D1, 9, 6), ("b", D1, 9, 4), ("n", D1, 9, 1)), [D1])
+    out = t.merged(frame(spark, ("a", D1, 9, 6), ("b", D1, 9, 4), ("n", D1, 9, 1)), [D1], ["price"])
     assert rows(out, "k", "price", "__offered", "__changed", "__before.price") == [
         ("a", 9, True, True, 1), ("b", 2, True, False, 2), ("c", 3, False, False, 3), ("n", 9, True, True, None)
     ]
