@@ -224,8 +224,51 @@ def international_stream_to_rollup(spark, sf_dir):
     return _plain(_streamed_international(spark, sf_dir, runs.REFRESH).daily.read(spark))
 
 
+_appending: dict[tuple[str, str], Warehouse] = {}
+
+
+def _appended(spark, sf_dir):
+    """The tables after a run that appends each batch's rollup, made once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _appending:
+        _appending[key] = _streamed_international(spark, sf_dir, runs.APPEND)
+    return _appending[key]
+
+
 @query(_LAYOVERS)
 def stored_layovers(spark, sf_dir):
     """Layovers from the stored table, next to an append-only rollup."""
-    warehouse = _streamed_international(spark, sf_dir, runs.APPEND)
-    return warehouse.layovers.read(spark).drop(*_VERSION)
+    return _appended(spark, sf_dir).layovers.read(spark).drop(*_VERSION)
+
+
+@query(
+    _INTERNATIONAL
+    + """
+SELECT depart_airport, arrival_airport, depart_date, is_layover,
+  coalesce(airline, 'airline 여러개') AS airline, seat_class, fare_class, fetched_date,
+  min(adult_fare // 1) IS NOT NULL AS priced, count(*) AS ticket_count
+FROM flight JOIN fare USING (air_id) GROUP BY ALL"""
+)
+def appended_rollup(spark, sf_dir):
+    """The append-only rollup: the batches' tickets of a group add up to all of them."""
+    rows = _plain(_appended(spark, sf_dir).daily_by_batch(spark))
+    group = [c for c in rows.columns if c not in ("mean_price", "median_price", "ticket_count", "batch_id")]
+    return rows.groupBy(*group).agg(
+        F.min("median_price").isNotNull().alias("priced"), F.sum("ticket_count").alias("ticket_count")
+    )
+
+
+@query(
+    _INTERNATIONAL
+    + """
+SELECT 'international' AS feed, (SELECT count(DISTINCT l_orderkey) FROM zoned) AS records,
+  CAST(0 AS BIGINT) AS bad, CAST(0 AS BIGINT) AS unkeyed,
+  (SELECT count(DISTINCT l_orderkey) FROM zoned WHERE NOT known) AS dropped,
+  (SELECT count(*) FROM flight) AS flight_info, (SELECT count(*) FROM fare) AS fare_info,
+  (SELECT count(*) FROM hop WHERE legs > 1) AS layover_info"""
+)
+def batch_metrics(spark, sf_dir):
+    """What was counted while the batches were written, over all batches."""
+    seen = _appended(spark, sf_dir).batches(spark)
+    counts = [c for c in seen.columns if c not in ("feed", "batch_id")]
+    return seen.groupBy("feed").agg(*[F.sum(c).alias(c) for c in counts])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from acceptance.registry import query
 from acceptance.views import LEG, ZONES, as_json, cents, places, table, written
 from feedmart.functions.labels import label
+from feedmart.operators.dedupe import newest, split_by_key
 from feedmart.plans.warehouse import Warehouse
 from feedmart.session import work_dir
 from feedmart.sources import feeds, schemas
@@ -140,6 +141,11 @@ GROUP BY ALL"""
 def backfill_order(spark, sf_dir):
     """Newer reports first: a crawl day after the day before it, and a day's second file before its
     first. The airline of the newer day and the prices of the second file stay."""
+    daily = _backfilled(spark, sf_dir).daily.read(spark)
+    return daily.withColumns({c: F.col(c).cast("string") for c in ("depart_date", "fetched_date")})
+
+
+def _backfilled(spark, sf_dir):
     warehouse = Warehouse(work_dir(spark, "backfill"), slots=SLOTS)
     orders = places(spark, sf_dir)
     day = F.col("o_orderdate").cast("timestamp")
@@ -171,8 +177,90 @@ def backfill_order(spark, sf_dir):
             *version,
         )
         warehouse.absorb({"flight_info": flights, "fare_info": fares})
-    daily = warehouse.daily.read(spark)
-    return daily.withColumns({c: F.col(c).cast("string") for c in ("depart_date", "fetched_date")})
+    return warehouse
+
+
+@query(
+    """
+WITH fare AS (
+  SELECT CASE WHEN l_quantity > 45 THEN NULL ELSE l_orderkey END AS o, CASE WHEN l_returnflag = 'A' THEN NULL
+      ELSE l_linenumber END AS agent, l_linestatus AS day, CAST(round(l_extendedprice * 100) AS BIGINT) AS p
+  FROM lineitem)
+SELECT true AS kept, o, agent, day, max(p) AS p, '' AS lacks FROM fare
+WHERE o IS NOT NULL AND agent IS NOT NULL GROUP BY o, agent, day
+UNION ALL
+SELECT false, o, agent, day, p, concat_ws('+', CASE WHEN o IS NULL THEN 'o' END, CASE WHEN agent IS NULL THEN 'agent' END)
+FROM fare WHERE o IS NULL OR agent IS NULL"""
+)
+def null_keys_kept(spark, sf_dir):
+    """Line items as fares: one per whole key, and every one that lacks a part of its key."""
+    line = table(spark, sf_dir, "lineitem")
+    rows = line.select(
+        F.when(F.col("l_quantity") <= 45, F.col("l_orderkey")).alias("o"),
+        F.when(F.col("l_returnflag") != "A", F.col("l_linenumber")).alias("agent"),
+        F.col("l_linestatus").alias("day"),
+        cents("l_extendedprice").alias("p"),
+    )
+    keys = ["o", "agent", "day"]
+    keyed, keyless = split_by_key(rows, keys)
+    one = newest(keyed, keys, ["p"]).withColumn("lacks", F.lit(""))
+    both = one.withColumn("kept", F.lit(True)).unionByName(
+        keyless.withColumns({"lacks": F.array_join("lacks", "+"), "kept": F.lit(False)})
+    )
+    return both.select("kept", *keys, "p", "lacks")
+
+
+@query(
+    """
+WITH fare AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, max(CAST(round(l_extendedprice * 100) AS BIGINT)) AS p
+  FROM lineitem GROUP BY ALL)
+SELECT n_name AS depart_airport, r_name AS arrival_airport, strftime(o_orderdate, '%Y-%m-%d') AS depart_date,
+  false AS is_layover, CASE WHEN o_orderstatus = 'P' THEN o_orderpriority ELSE 'new' END AS airline,
+  l_returnflag AS seat_class, 'n' AS fare_class, fetched_date, CAST(p + late AS INTEGER) AS adult_fare, count(*) AS n
+FROM fare JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey,
+  (VALUES ('2025-02-28', 2), ('2025-02-27', 1)) AS d(fetched_date, late)
+WHERE o_orderstatus <> 'P' OR fetched_date = '2025-02-27'
+GROUP BY ALL"""
+)
+def price_counts(spark, sf_dir):
+    """The rollup's state after the batches of ``backfill_order``: signed changes of three batches, with
+    flights that move and prices that an older file must not bring back."""
+    counts = _backfilled(spark, sf_dir).counts.read(spark)
+    return counts.withColumns({c: F.col(c).cast("string") for c in ("depart_date", "fetched_date")})
+
+
+@query(
+    """
+SELECT s_name AS airport_code, CASE WHEN s_acctbal < 0 THEN 'Mars/Base' WHEN s_suppkey % 3 = 0 THEN NULL
+    WHEN s_suppkey % 7 = 0 THEN 'Not a zone' ELSE 'Asia/Seoul' END AS time_zone, false AS again,
+  NOT (s_acctbal < 0 OR (s_suppkey % 3 <> 0 AND s_suppkey % 7 = 0)) AS stored FROM supplier
+UNION ALL
+SELECT NULL, 'UTC', true, false FROM supplier WHERE s_acctbal < 0"""
+)
+def airport_zone_check(spark, sf_dir):
+    """Suppliers as airports: those with an impossible zone, or without a code, go to the rejects."""
+    root = work_dir(spark, "zones")
+    warehouse = Warehouse(root)
+    supplier = table(spark, sf_dir, "supplier")
+    debt, number = F.col("s_acctbal") < 0, F.col("s_suppkey")
+    zone = (
+        F.when(debt, "Mars/Base").when(number % 3 == 0, None).when(number % 7 == 0, "Not a zone").otherwise("Asia/Seoul")
+    )
+    rows = supplier.select(
+        F.col("s_name").alias("airport_code"), F.lit("a").alias("name"), F.lit("b").alias("country"), zone.alias("time_zone")
+    )
+    codeless = supplier.where(debt).select(
+        F.lit(None).cast("string").alias("airport_code"), F.lit("a").alias("name"), F.lit("b").alias("country"),
+        F.lit("UTC").alias("time_zone"),
+    )
+    warehouse.load_airports(rows.unionByName(codeless), f"{root}/rejects")
+    rejects = spark.read.schema("airport_code string, time_zone string, why string").json(f"{root}/rejects")
+    stored = warehouse.airports.read(spark).select("airport_code", "time_zone", F.lit(False).alias("again"), F.lit(True).alias("stored"))
+    return stored.unionByName(
+        rejects.select("airport_code", "time_zone", (F.col("why") == "no code").alias("again"), F.lit(False).alias("stored"))
+    )
 
 
 @query(

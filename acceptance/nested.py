@@ -272,14 +272,14 @@ def quarantine_corrupt(spark, sf_dir):
 _EVENTS = "SELECT event_id, user_id, event_type, epoch_us(ts) AS ts_us, props FROM events"
 
 
-def _events_stream(spark, sf_dir):
+def _events_stream(spark, sf_dir, **limits):
     fields = "event_id bigint,user_id bigint,ts_us bigint,props string,event_type string"
     stream = feeds.scan_stream(
         spark,
         events_feed(spark, sf_dir),
         schemas.struct(fields),
         files="events-*.json",
-        max_files=4,
+        **(limits or {"max_files": 4}),
     )
     return feeds.records(stream).select("event_id", "user_id", "event_type", "ts_us", "props")
 
@@ -310,3 +310,14 @@ def chunked_ingest(spark, sf_dir):
 
     ingest.run_to_end(stream, append, f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/events").drop("batch_id")
+
+
+@query(_EVENTS)
+def chunked_by_bytes(spark, sf_dir):
+    """As ``chunked_ingest``, with chunks of about a megabyte; files of finished chunks may be archived."""
+    folder = work_dir(spark, "chunked-by-bytes")
+    stream = _events_stream(spark, sf_dir, max_bytes=1_000_000)
+    ingest.run_to_end(
+        stream, lambda batch, batch_id: append_batch(batch, f"{folder}/events", batch_id), f"{folder}/checkpoint"
+    )
+    return spark.read.parquet(f"{folder}/events").drop("batch_id")

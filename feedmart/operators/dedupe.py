@@ -34,6 +34,17 @@ def newest(
     return df.withColumn("__rank", F.row_number().over(ranked)).where("__rank = 1").drop("__rank")
 
 
+def split_by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is whole, and those that lack a part of it: together all rows, each once.
+
+    Rows without a whole key cannot be told apart by it, so they must not be reduced to one per key. The
+    second frame has one more column, ``lacks``: the names of the missing parts.
+    """
+    lacks = F.filter(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys]), lambda name: name.isNotNull())
+    whole = F.size(lacks) == 0
+    return df.where(whole), df.where(~whole).withColumn("lacks", lacks)
+
+
 def valid_keys(*sides: DataFrame) -> DataFrame:
     """The distinct keys of all sides, which share one column."""
     first, *rest = sides

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from feedmart.functions import keys, labels, money, times
-from feedmart.operators.dedupe import newest
+from feedmart.operators.dedupe import newest, split_by_key
 from feedmart.operators.lookup import lookup
 from feedmart.operators.nested import elements
 from feedmart.sources import feeds, schemas
@@ -17,6 +17,10 @@ NEWEST = ["fetched_date", "file_path"]
 
 FARE_KEYS = ["air_id", "seat_class", "agt_code", "fetched_date", "fare_class"]
 
+# What a fare cannot do without. Its seat class may be unknown, as the code is part of the flight's id and
+# keeps such fares apart; and files without a day count as crawled on one unknown day.
+FARE_PARTS = ["air_id", "agt_code", "fare_class"]
+
 _READ = [
     "airlineCode",
     "airlineName",
@@ -109,9 +113,15 @@ def with_utc(df: DataFrame, airports: DataFrame) -> DataFrame:
 
 def fares(base: DataFrame) -> DataFrame:
     """One row per flight, class, agent and crawl day. Flights without fares give none."""
+    keyed, _ = split_by_key(_priced(base), FARE_PARTS)
+    return newest(keyed, FARE_KEYS, ["file_path"])
+
+
+def _priced(base: DataFrame) -> DataFrame:
+    """All fares of the flights that have an id."""
     keyed = base.where(F.col("air_id").isNotNull())
     rows = elements(keyed, "fare", "f", ["air_id", "seat_class", "fetched_date", "file_path"])
-    priced = rows.select(
+    return rows.select(
         "air_id",
         "seat_class",
         F.col("f.agtCode").alias("agt_code"),
@@ -122,13 +132,20 @@ def fares(base: DataFrame) -> DataFrame:
         F.lit("n").alias("fare_class"),
         "file_path",
     )
-    return newest(priced, FARE_KEYS, ["file_path"])
 
 
 def unkeyed(base: DataFrame) -> DataFrame:
-    """The schedules that lack a part of their key, one by one. They go to no table: without the key
-    nothing tells them apart."""
-    return base.where(F.col("air_id").isNull()).select("file_path", F.to_json(F.struct("*")).alias("record"))
+    """The schedules and fares that lack a part of their key, one by one. They go to no table: without
+    the key nothing tells them apart. A schedule without an id takes its fares along."""
+    _, schedule = split_by_key(base, ["air_id"])
+    _, fare = split_by_key(_priced(base), FARE_PARTS)
+    return rejected(schedule, "flight_info").unionByName(rejected(fare, "fare_info"))
+
+
+def rejected(rows: DataFrame, goes_to: str) -> DataFrame:
+    """Rows that ``split_by_key`` parted, as records of the reject output."""
+    record = F.to_json(F.struct(*[c for c in rows.columns if c != "lacks"]))
+    return rows.select("file_path", F.lit(goes_to).alias("goes_to"), "lacks", record.alias("record"))
 
 
 def tables(raw: DataFrame, airports: DataFrame, direction: str = "departures") -> dict[str, DataFrame]:

@@ -8,11 +8,14 @@ from pyspark.sql.types import StructType
 
 from feedmart.functions import keys, labels, money, times
 from feedmart.operators import itinerary
-from feedmart.operators.dedupe import having_key, newest
+from feedmart.operators.dedupe import having_key, newest, split_by_key
 from feedmart.operators.nested import elements, entries, positioned
-from feedmart.plans.domestic import FARE_KEYS, NEWEST, with_utc
+from feedmart.plans.domestic import FARE_KEYS, NEWEST, rejected, with_utc
 from feedmart.sources import feeds, schemas
 
+# What a fare cannot do without. Only its crawl day may be unknown.
+FARE_PARTS = ["air_id", "seat_class", "agt_code", "fare_class"]
+
 _RESULTS = "data.internationalList.results"
 _READ = [
     "airlines",
@@ -83,6 +86,12 @@ def trips(base: DataFrame, airports: DataFrame, whole: bool = True) -> DataFrame
     that leg is dropped. The legs are still partitioned by itinerary when they are put together
     again, so the only shuffle is that of the newest itineraries.
     """
+    gathered = gathered_trips(base, airports, whole)
+    return gathered.where("known").drop("known")
+
+
+def gathered_trips(base: DataFrame, airports: DataFrame, whole: bool = True) -> DataFrame:
+    """As ``trips``, with the itineraries that drop out too: ``known`` tells."""
     rows = positioned(itineraries(base), "detail", "ord", "leg", ["full_air_id", *_CARRY])
     flat = rows.select("full_air_id", *_CARRY, "ord", "leg.*")
     zoned = with_utc(flat, airports).select(
@@ -92,8 +101,8 @@ def trips(base: DataFrame, airports: DataFrame, whole: bool = True) -> DataFrame
         (F.col("dep_known") & F.col("arr_known")).alias("known"),
     )
     if not whole:
-        return itinerary.gather(zoned.where("known"), _CARRY)
-    return itinerary.gather(zoned, _CARRY).where(F.forall("legs", lambda leg: leg["known"]))
+        return itinerary.gather(zoned.where("known"), _CARRY).withColumn("known", F.lit(True))
+    return itinerary.gather(zoned, _CARRY).withColumn("known", F.forall("legs", lambda leg: leg["known"]))
 
 
 def legs(known_trips: DataFrame) -> DataFrame:
@@ -114,6 +123,13 @@ def fares(
     base: DataFrame, known_trips: DataFrame, option_label: str = labels.ADULT_ANY_PAYMENT
 ) -> DataFrame:
     """One row per id, class, agent, crawl day and fare class, for one payment option."""
+    keyed, _ = split_by_key(_priced(base, option_label), FARE_PARTS)
+    single = newest(keyed, FARE_KEYS, ["file_path"])
+    return having_key(single, itinerary.air_ids(known_trips), "air_id")
+
+
+def _priced(base: DataFrame, option_label: str = labels.ADULT_ANY_PAYMENT) -> DataFrame:
+    """All fares of one payment option."""
     context = ["fareTypes", "seat_class", "fetched_date", "file_path"]
     priced = entries(base, "fares", "air_id", "priced", context)
     options = entries(priced, "priced.fare", "option", "fare_list", ["air_id", *context])
@@ -121,7 +137,7 @@ def fares(
         labels.decoded(F.col("fareTypes")[F.col("option")]) == F.lit(option_label)
     )
     kept = ["air_id", "seat_class", "fetched_date", "file_path"]
-    rows = elements(wanted, "fare_list", "fare", kept).select(
+    return elements(wanted, "fare_list", "fare", kept).select(
         "air_id",
         "seat_class",
         F.col("fare.AgtCode").alias("agt_code"),
@@ -132,20 +148,19 @@ def fares(
         keys.url_param_part("fare.priceTransparencyUrl.`#cdata-section`").alias("fare_class"),
         "file_path",
     )
-    single = newest(rows, FARE_KEYS, ["file_path"])
-    return having_key(single, itinerary.air_ids(known_trips), "air_id")
 
 
 def layovers(known_trips: DataFrame) -> DataFrame:
     return itinerary.layovers(known_trips, ["fetched_date", "file_path"])
 
 
-def unkeyed(known_trips: DataFrame) -> DataFrame:
-    """The legs whose position is beyond the parts of their itinerary's id, one by one."""
+def unkeyed(base: DataFrame, known_trips: DataFrame) -> DataFrame:
+    """The fares that lack a part of their key, and the legs whose position is beyond the parts of their
+    itinerary's id, one by one."""
     found = legs(known_trips).where(keys.is_connection("full_air_id"))
-    return found.where(keys.leg_id("full_air_id", "ord").isNull()).select(
-        "file_path", F.to_json(F.struct("*")).alias("record")
-    )
+    _, leg = split_by_key(found.withColumn("air_id", keys.leg_id("full_air_id", "ord")), ["air_id"])
+    _, fare = split_by_key(_priced(base), FARE_PARTS)
+    return rejected(leg, "flight_info").unionByName(rejected(fare, "fare_info"))
 
 
 def tables(raw: DataFrame, airports: DataFrame) -> dict[str, DataFrame]:

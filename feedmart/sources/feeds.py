@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
@@ -73,14 +73,20 @@ def scan_stream(
     files: str | None = None,
     multi_line: bool = False,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """As ``scan``, for files that keep arriving. A trigger takes at most so many files or bytes."""
+    """As ``scan``, for files that keep arriving. A trigger takes at most so many files or bytes, not both.
+
+    Files of a finished trigger are moved to ``archive``, which must lie outside ``path``, when the next
+    one ends."""
     options = _options(files, multi_line)
+    if archive:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
     if max_files:
         options["maxFilesPerTrigger"] = str(max_files)
     if max_bytes:
-        options["maxBytesPerTrigger"] = max_bytes
+        options["maxBytesPerTrigger"] = str(max_bytes)
     reader = spark.readStream.schema(_with_bad_record(schema)).options(**options)
     return _with_path(reader.json(path))
 
@@ -90,18 +96,25 @@ def records(scanned: DataFrame) -> DataFrame:
     return scanned.drop(BAD_RECORD)
 
 
-def quarantine(scanned: DataFrame) -> DataFrame:
-    """The text and the file of each record that did not parse in full."""
-    data = next(c for c in scanned.columns if c not in (BAD_RECORD, FILE_PATH))
-    partly_read = F.col(data).isNotNull()
+def is_bad(scanned: DataFrame) -> Column:
+    """True for a record that did not parse in full. Never null."""
     # Spark refuses a JSON query that reads the bad-record column alone, as a count would: hence
     # the condition on a data column too.
-    bad = F.col(BAD_RECORD).isNotNull() & ((F.col(BAD_RECORD) != "") | partly_read)
-    return scanned.where(bad).select(
-        FILE_PATH, F.col(BAD_RECORD).alias("record"), partly_read.alias("partly_read")
+    text = F.coalesce(F.col(BAD_RECORD), F.lit(""))
+    return (text != "") | (F.col(BAD_RECORD).isNotNull() & F.col(_data(scanned)).isNotNull())
+
+
+def quarantine(scanned: DataFrame) -> DataFrame:
+    """The text and the file of each record that did not parse in full."""
+    return scanned.where(is_bad(scanned)).select(
+        FILE_PATH, F.col(BAD_RECORD).alias("record"), F.col(_data(scanned)).isNotNull().alias("partly_read")
     )
 
 
+def _data(scanned: DataFrame) -> str:
+    return next(c for c in scanned.columns if c not in (BAD_RECORD, FILE_PATH))
+
+
 def _with_bad_record(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(BAD_RECORD, StringType())])
 

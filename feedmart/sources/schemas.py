@@ -74,6 +74,11 @@ DAILY_ROLLUP = (
 
 AIRPORT_INFO = "airport_code string,name string,country string,time_zone string"
 
+BATCH_COUNTS = (
+    "feed string,batch_id bigint,records bigint,bad bigint,unkeyed bigint,dropped bigint,"
+    "flight_info bigint,fare_info bigint,layover_info bigint"
+)
+
 
 def struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)

@@ -157,3 +157,11 @@ def test_total(spark):
     assert [r[0] for r in df.select(money.total(F.col("a"), F.col("b"))).collect()] == [
         3, None, None, None
     ]
+
+
+def test_split_by_key(spark, rows):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 1, 5), (None, 1, 6), (None, 1, 6), ("b", None, 7), (None, None, 8)], "k string, d int, v int")
+    whole, keyless = dedupe.split_by_key(df, ["k", "d"])
+    assert rows(whole, "v") == [(5,), (5,)]
+    assert rows(keyless, "v", "lacks") == [(6, ["k"]), (6, ["k"]), (7, ["d"]), (8, ["k", "d"])]
+    assert whole.columns == df.columns
