@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from acceptance.registry import query
@@ -9,6 +11,8 @@ from acceptance.views import LEG, cents, instant, itineraries, leg, places, tabl
 from feedmart.functions import keys, labels, money, times
 from feedmart.operators import dedupe, itinerary, rollup
 from feedmart.operators.lookup import both_ends, lookup
+from feedmart.session import work_dir
+from feedmart.sources.colocated import bucketed
 
 _SALES = """
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -89,6 +93,28 @@ def fact_join(spark, sf_dir):
     )
 
 
+@query(
+    """
+SELECT o_orderpriority, l_returnflag, l_linenumber, count(*) AS n,
+  CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS p
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL"""
+)
+def colocated_join(spark, sf_dir):
+    """Orders and line items bucketed by order: the join below the counts reads bucket by bucket."""
+    folder, name = work_dir(spark, "colocated"), f"c{uuid.uuid4().hex[:8]}"
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_orderpriority")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("k"), "l_returnflag", "l_linenumber", cents("l_extendedprice").alias("p")
+    )
+    sides = [
+        bucketed(df, f"{name}_{side}", f"{folder}/{side}", "k", 8) for side, df in (("orders", orders), ("lines", lines))
+    ]
+    joined = sides[0].hint("merge").join(sides[1], "k")
+    return joined.groupBy("o_orderpriority", "l_returnflag", "l_linenumber").agg(
+        F.count("*").alias("n"), F.sum("p").alias("p")
+    )
+
+
 _TRIP = f"""
 WITH {LEG}, trip AS (
   SELECT string_agg(l_orderkey || '-' || l_linenumber, '+' ORDER BY l_linenumber) AS air_id,
