@@ -50,7 +50,8 @@ def lanes(lengths: list[int], n: int) -> list[list[int]]:
 
 def windows(texts: list[np.ndarray], n_lanes: int, steps: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(tokens, text number, keep) in blocks of (steps, active lanes, ...). ``texts`` hold rows of
-    (input, class, member) per step; keep is 0 where a text begins. Lanes that ended drop out."""
+    (input, class, member) per step; keep is 0 where a text begins. Lanes that ended drop out; in the block
+    in which a lane ends, the rest of it belongs to no text: its number is that of the texts."""
     dealt = lanes([len(t) for t in texts], n_lanes)
     streams = [np.concatenate([texts[i] for i in lane]) for lane in dealt]
     owners = [np.repeat(np.array(lane), [len(texts[i]) for i in lane]) for lane in dealt]
@@ -60,15 +61,15 @@ def windows(texts: list[np.ndarray], n_lanes: int, steps: int) -> Iterator[tuple
         keep[np.cumsum([0, *(len(texts[i]) for i in lane[:-1])])] = 0
         begins.append(keep)
     sizes = np.array([len(s) for s in streams])
-    at = 0
-    while (active := int((sizes > at).sum())) > 0:
-        stop = at + min(steps, int(sizes[active - 1]) - at)  # the shortest active lane ends a block
-        yield (
-            np.stack([s[at:stop] for s in streams[:active]], axis=1),
-            np.stack([o[at:stop] for o in owners[:active]], axis=1),
-            np.stack([k[at:stop] for k in begins[:active]], axis=1),
-        )
-        at = stop
+    for at in range(0, int(sizes.max(initial=0)), steps):
+        active = int((sizes > at).sum())
+        tokens = np.zeros((steps, active, texts[0].shape[1]), texts[0].dtype)
+        owner, keep = np.full((steps, active), len(texts)), np.zeros((steps, active), F32)
+        for k in range(active):
+            n = min(steps, int(sizes[k]) - at)
+            tokens[:n, k], owner[:n, k], keep[:n, k] = (x[k][at : at + n] for x in (streams, owners, begins))
+        used = min(steps, int(sizes[0]) - at)  # the first lane is the longest
+        yield tokens[:used], owner[:used], keep[:used]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -138,7 +139,7 @@ def scores(p: Params, texts: list[np.ndarray], n_lanes: int = 256, steps: int =
         states = run(p, table, tokens[..., 0], keep, h[: tokens.shape[1]])
         h = states[-1]
         flat = log_probs(p, states.reshape(-1, states.shape[2]), tokens[..., 1].ravel(), tokens[..., 2].ravel())
-        total += np.bincount(owner.ravel(), flat, minlength=len(texts))
+        total += np.bincount(owner.ravel(), flat, minlength=len(texts) + 1)[: len(texts)]
     return total
 
 
@@ -182,22 +183,58 @@ def gradient(p: Params, tokens: np.ndarray, keep: np.ndarray, h: np.ndarray) ->
     return loss, g, states[-1]
 
 
+def even_windows(texts: list[np.ndarray], n_lanes: int, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(tokens, keep, first) in blocks of (steps, lanes, ...) for training: the texts one after the other,
+    cut into lanes of one length, so that every block is full. A text that is cut goes on without its state
+    in the next lane; ``first`` tells where all states begin. What is left over is a lane of its own."""
+    stream = np.concatenate(texts)
+    keep = np.ones(len(stream), F32)
+    keep[np.cumsum([0, *(len(t) for t in texts[:-1])])] = 0
+    lanes_n = max(1, min(n_lanes, len(stream) // steps))
+    length = len(stream) // lanes_n
+    whole = lanes_n * length
+    for part, width in ((slice(0, whole), lanes_n), (slice(whole, None), 1)):
+        tokens, kept = stream[part], keep[part]
+        if not len(tokens):
+            continue
+        tokens = tokens.reshape(width, -1, tokens.shape[1]).swapaxes(0, 1)
+        kept = kept.reshape(width, -1).T
+        for at in range(0, len(tokens), steps):
+            yield np.ascontiguousarray(tokens[at : at + steps]), np.ascontiguousarray(kept[at : at + steps]), at == 0
+
+
+class Trainer:
+    """Truncated backpropagation with Adam, over texts that come in pieces."""
+
+    def __init__(self, p: Params, m: Params | None = None, v: Params | None = None, step: int = 0, n_lanes: int = 128, steps: int = 32):
+        def own(x: Params | None) -> Params:
+            return {k: np.zeros_like(y) if x is None else x[k].copy() for k, y in p.items()}
+
+        self.p, self.m, self.v = own(p), own(m), own(v)
+        self.step, self.seen, self._lanes, self._steps = step, 0, n_lanes, steps
+
+    def feed(self, texts: list[np.ndarray], rate: float) -> None:
+        """One pass over the texts."""
+        h = None
+        for tokens, keep, first in even_windows(texts, self._lanes, self._steps):
+            if first:
+                h = np.zeros((tokens.shape[1], self.p["U"].shape[0]), F32)
+            n = tokens.shape[0] * tokens.shape[1]
+            _, g, h = gradient(self.p, tokens, keep, h)
+            self.step += 1
+            self.seen += n
+            norm = np.sqrt(sum(float((x * x).sum()) for x in g.values())) / n
+            scale = F32(min(1.0, 1.0 / max(norm, 1e-9)) / n)
+            fix = F32(np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step))
+            for k, x in g.items():
+                x *= scale
+                self.m[k] += F32(0.1) * (x - self.m[k])
+                self.v[k] += F32(0.01) * (x * x - self.v[k])
+                self.p[k] -= F32(rate) * fix * self.m[k] / (np.sqrt(self.v[k]) + F32(1e-6))
+
+
 def train(p: Params, texts: list[np.ndarray], rate: float = 0.01, n_lanes: int = 32, steps: int = 16) -> tuple[Params, int]:
-    """One pass of truncated backpropagation with Adam; returns the weights and the tokens seen."""
-    p = {k: v.copy() for k, v in p.items()}
-    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    h, seen, step = np.zeros((n_lanes, p["U"].shape[0]), F32), 0, 0
-    for tokens, _, keep in windows(texts, n_lanes, steps):
-        n = tokens.shape[0] * tokens.shape[1]
-        _, g, h = gradient(p, tokens, keep, h[: tokens.shape[1]])
-        step += 1
-        seen += n
-        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values())) / n
-        scale = F32(min(1.0, 1.0 / max(norm, 1e-9)) / n)
-        fix = F32(np.sqrt(1 - 0.99**step) / (1 - 0.9**step))
-        for k, x in g.items():
-            x *= scale
-            m[k] += F32(0.1) * (x - m[k])
-            v[k] += F32(0.01) * (x * x - v[k])
-            p[k] -= F32(rate) * fix * m[k] / (np.sqrt(v[k]) + F32(1e-6))
-    return p, seen
+    """One pass from fresh optimiser state; returns the weights and the tokens seen."""
+    trainer = Trainer(p, n_lanes=n_lanes, steps=steps)
+    trainer.feed(texts, rate)
+    return trainer.p, trainer.seen

@@ -6,10 +6,10 @@
   classes. Which words and endings go together comes from how often they share a text.
 * P(word) = P(class | state) x P(word | class, state) in head classes, and in tail classes
   P(class | state) x (c + 0.1) / (N_class + 0.1 (V_class + 1)), with counts over all training texts.
-* Training: truncated backpropagation in numpy, shard by shard on the executors. Shards start from the
-  same weights, and their results are averaged by tokens seen; this is repeated ``ROUNDS`` times over
-  different texts. ``SHARE`` of the training texts (whole ones, by a hash) are used, so the number grows
-  with the input.
+* Training: truncated backpropagation in numpy over every training text, each used once. Texts are dealt to
+  shards of about ``SHARD_TOKENS`` tokens by a hash of the id and ordered within, so the weights follow
+  from the texts and not from how they are stored. In each of ``ROUNDS`` rounds all shards start from the
+  same weights and optimiser state, and what they end with is averaged by tokens seen, a few at a time.
 * Scoring: whole texts, the state carried from window to window. The ``KNOWN`` most frequent words are
   looked up in a broadcast table of bounded size; the rest are joined with the counts by word.
 
@@ -41,11 +41,16 @@ HEADS, MEMBERS = 1024, 32
 ENDINGS, TAILS = 1024, 32
 ANCHORS = 64
 KNOWN, KNOWN_BYTES = 1 << 17, 64
-SHARE, ROUNDS = 1 / 8, 3
+ROUNDS = 3
+SHARD_TOKENS, MOST_SHARDS = 1 << 20, 4096
+LANES, STEPS, RATE = 128, 16, 0.02
+#: Shards whose weights are averaged in one task, and at most so many rows that come to the driver.
+FAN_IN = 16
 #: The word no text can hold: it ends every text.
 END = b"\n"
-#: Bytes of text a worker handles at a time.
-PIECE = 4 << 20
+#: Bytes of text a worker trains on at a time, and counts or scores at a time. Lanes are long then: a text
+#: of many words holds up the others less.
+PIECE, SCORED = 4 << 20, 16 << 20
 _EDGE = b".,;:!?%$&#*|\"')("
 
 
@@ -55,14 +60,14 @@ def ending(word: bytes) -> int:
     return zlib.crc32(bare[-3:] + (b"." if len(bare) < len(word) else b"")) % ENDINGS
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Batches cut so that their texts come to about ``PIECE`` bytes."""
+def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = PIECE) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Batches cut so that their texts come to about ``most`` bytes."""
     for batch in batches:
         at, size, held = 0, 0, []
         for k, text in enumerate(texts(batch.column(column))):
             held.append(text)
             size += len(text)
-            if size >= PIECE or k + 1 == batch.num_rows:
+            if size >= most or k + 1 == batch.num_rows:
                 yield batch.slice(at, k + 1 - at), held
                 at, size, held = k + 1, 0, []
 
@@ -71,7 +76,7 @@ def counted(train: DataFrame) -> DataFrame:
     """(word, c) over all rows (text), the end token with them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in pieces(batches, 0):
+        for _, held in pieces(batches, 0, SCORED):
             c = Counter({END: len(held)})
             for text in held:
                 c.update(lower_words_of(text))
@@ -106,26 +111,27 @@ class Vocabulary:
         return self.heads + ENDINGS
 
 
-def _together(sample: DataFrame, heads: dict[bytes, int]) -> np.ndarray:
-    """How often each head word and each ending shares a text with each anchor, the first head words."""
+def _together(train: DataFrame, heads: dict[bytes, int]) -> np.ndarray:
+    """How often each head word and each ending shares a text with each anchor, the first head words. In whole
+    numbers, so that the sums are the same in any order."""
     rows, anchors = len(heads) + ENDINGS, min(ANCHORS, len(heads))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((rows, anchors))
+        sums = np.zeros((rows, anchors), np.int64)
         for batch in batches:
             for text in texts(batch.column(0)):
                 c = Counter(heads[w] if w in heads else len(heads) + ending(w) for w in lower_words_of(text))
                 if c:
-                    at, n = np.array(list(c)), np.array(list(c.values()), float)
-                    near = np.zeros(anchors)
-                    near[at[at < anchors]] = n[at < anchors] / n.sum()
+                    at, n = np.array(list(c)), np.array(list(c.values()))
+                    near = np.zeros(anchors, np.int64)
+                    near[at[at < anchors]] = (n[at < anchors] << 16) // n.sum()
                     sums[at] += n[:, None] * near
         k = np.flatnonzero(sums.any(axis=1))
-        yield pa.RecordBatch.from_pydict({"k": pa.array(k, pa.int64()), "v": pa.array(list(sums[k]), pa.list_(pa.float64()))})
+        yield pa.RecordBatch.from_pydict({"k": pa.array(k, pa.int64()), "v": pa.array(list(sums[k]), pa.list_(pa.int64()))})
 
     summed = (
-        sample.select("text")
-        .mapInArrow(run, "k long, v array<double>")
+        train.select("text")
+        .mapInArrow(run, "k long, v array<long>")
         .select("k", F.posexplode("v").alias("j", "x"))
         .groupBy("k", "j")
         .agg(F.sum("x").alias("x"))
@@ -135,7 +141,7 @@ def _together(sample: DataFrame, heads: dict[bytes, int]) -> np.ndarray:
     )
     out = np.zeros((rows, max(anchors, 1)))
     for r in summed:
-        out[r["k"], : len(r["v"])] = [x["x"] for x in r["v"]]
+        out[r["k"], : len(r["v"])] = [x["x"] / (1 << 16) for x in r["v"]]
     return out
 
 
@@ -168,17 +174,17 @@ def _frequent(counts: DataFrame) -> DataFrame:
     return counts.filter(grade >= lowest)
 
 
-def vocabulary(counts: DataFrame, sample: DataFrame) -> Vocabulary:
+def vocabulary(counts: DataFrame, train: DataFrame) -> Vocabulary:
     n, v = counts.agg(F.sum("c"), F.count("*")).first()
     usual = counts.filter(F.octet_length("word") <= KNOWN_BYTES)
     top = _frequent(usual).orderBy(F.desc("c"), "word").limit(KNOWN).collect()  # so many words of so many bytes
     words, count = {bytes(r["word"]): k for k, r in enumerate(top)}, np.array([r["c"] for r in top], float)
-    if END not in words:
+    if END not in words:  # more than KNOWN words are more frequent
         words[END] = len(words)
-        count = np.append(count, 0.0)
+        count = np.append(count, float(counts.filter(F.col("word") == F.lit(END)).agg(F.sum("c")).first()[0] or 0))
     order = [END, *(w for w in words if w != END)][:HEADS]
     heads = {w: k for k, w in enumerate(order)}
-    near = _together(sample, heads)
+    near = _together(train, heads)
     head_n = np.array([count[words[w]] for w in order]) + 0.1
     # head words that go together fill a class of MEMBERS; endings that go together are a tail class
     by_cluster = np.lexsort((-head_n, _clusters(near[: len(heads)] + 1e-6, head_n, 16)))
@@ -244,35 +250,85 @@ def _unflat(flat: np.ndarray, like: gru.Params) -> gru.Params:
     return out
 
 
-def trained(sample: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> gru.Params:
-    """Weights after ``rounds`` rounds; every text of the sample is used in one of them."""
-    sc = sample.sparkSession.sparkContext
-    weights, held = first_weights(vocab), sc.broadcast(vocab)
+def trained(train: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> gru.Params:
+    """Weights after ``rounds`` rounds over rows (id, text); every text is used in one of them."""
+    sc = train.sparkSession.sparkContext
+    held, state, step = sc.broadcast(vocab), [first_weights(vocab)], 0
+    state += [{k: np.zeros_like(x) for k, x in state[0].items()} for _ in range(2)]  # Adam's two means
+    shards = min(MOST_SHARDS, max(1, -(-vocab.total // SHARD_TOKENS)))
+
+    def hashed(salt: int) -> Column:
+        return F.xxhash64("id", F.lit(salt))
+
+    dealt = train.select(
+        F.pmod(hashed(29), F.lit(shards)).cast("int").alias("shard"),
+        hashed(31).alias("key"),
+        F.pmod(hashed(23), F.lit(rounds)).alias("turn"),
+        "text",
+    )
     for turn in range(rounds):
-        sent = sc.broadcast(weights)
-        rate = 0.01 * 0.6**turn
+        sent, rate = sc.broadcast((state, step)), RATE * 0.6**turn
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
-            p, seen = sent.value, 0
-            for _, batch in pieces(batches, 0):
-                p, n = gru.train(p, [encoded(lower_words_of(t), held.value)[1] for t in batch], rate)
-                seen += n
-            if seen:
-                yield pa.RecordBatch.from_pydict({"w": pa.array([_flat(p)], pa.list_(pa.float32())), "seen": [seen]})
-
-        mine = sample.filter(F.col("turn") % rounds == turn).select("text")
-        rows = (
-            mine.mapInArrow(run, "w array<float>, seen long")
-            .select("seen", F.posexplode("w").alias("k", "x"))
-            .groupBy("k")
-            .agg((F.sum(F.col("x") * F.col("seen")) / F.sum("seen")).alias("x"))
-            .collect()  # one row per weight
-        )
-        if rows:
-            flat = np.zeros(len(rows))
-            flat[[r["k"] for r in rows]] = [r["x"] for r in rows]
-            weights = _unflat(flat, weights)
-    return weights
+            start, taken = sent.value
+            for shard, some in itertools.groupby(_by_shard(batches), key=lambda x: x[0]):
+                trainer = gru.Trainer(*start, taken, LANES, STEPS)
+                for _, texts_of in some:
+                    trainer.feed([encoded(lower_words_of(t), held.value)[1] for t in texts_of], rate)
+                flat = np.concatenate([_flat(x) for x in (trainer.p, trainer.m, trainer.v)]).astype("f4")
+                yield _averaged_row(shard, trainer.seen, trainer.step, flat)
+
+        mine = dealt.filter(F.col("turn") == turn).drop("turn").repartitionById(shards, F.col("shard"))
+        rows = mine.sortWithinPartitions("shard", "key", "text").mapInArrow(run, _AVERAGED)
+        left = shards
+        while left > FAN_IN:
+            rows = rows.groupBy(F.expr(f"shard div {FAN_IN}").alias("next")).applyInArrow(_averaged, _AVERAGED)
+            left = -(-left // FAN_IN)
+        found = rows.collect()  # FAN_IN rows at most
+        if found:
+            mean = _mean([(r["shard"], r["seen"], r["step"], np.frombuffer(r["w"], "f4")) for r in found])
+            step, flat = mean[1], mean[2]
+            state = [_unflat(x, state[0]) for x in np.split(flat, 3)]
+    return state[0]
+
+
+_AVERAGED = "shard long, seen long, step long, w binary"
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str]]]:
+    """(shard, texts) of rows ordered by shard, cut by bytes of text alone and not by batches."""
+    held, size, of = [], 0, None
+    for batch in batches:
+        for shard, text in zip(batch.column("shard").to_pylist(), texts(batch.column("text")), strict=True):
+            if held and (shard != of or size >= PIECE):
+                yield of, held
+                held, size = [], 0
+            of = shard
+            held.append(text)
+            size += len(text)
+    if held:
+        yield of, held
+
+
+def _mean(rows: list[tuple[int, int, int, np.ndarray]]) -> tuple[int, int, np.ndarray]:
+    """(tokens, mean steps, weights averaged by tokens), in the order of the shards."""
+    rows = sorted(rows, key=lambda r: r[0])
+    seen = sum(r[1] for r in rows)
+    total = np.zeros(len(rows[0][3]))
+    for _, n, _, w in rows:
+        total += w * np.float64(n / seen)
+    return seen, sum(r[1] * r[2] for r in rows) // seen, total.astype("f4")
+
+
+def _averaged_row(shard: int, seen: int, step: int, w: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"shard": [shard], "seen": [seen], "step": [step], "w": pa.array([w.tobytes()], pa.binary())})
+
+
+def _averaged(group: pa.Table) -> pa.Table:
+    """One row for up to ``FAN_IN`` shards."""
+    held = group.to_pylist()
+    seen, step, w = _mean([(r["shard"], r["seen"], r["step"], np.frombuffer(r["w"], "f4")) for r in held])
+    return pa.Table.from_batches([_averaged_row(min(r["shard"] for r in held) // FAN_IN, seen, step, w)])
 
 
 def _parts(docs: DataFrame, vocab: Vocabulary, weights: gru.Params) -> DataFrame:
@@ -286,7 +342,7 @@ def _parts(docs: DataFrame, vocab: Vocabulary, weights: gru.Params) -> DataFrame
         tail_below = np.log10(vocab.tail_n + 0.1 * (vocab.tail_v + 1))
         logs = np.log10(vocab.count + 0.1)
         seen, end, uid = vocab.count > 0, vocab.words[END], TaskContext.get().partitionId() << 40
-        for batch, held_texts in pieces(batches, 1):
+        for batch, held_texts in pieces(batches, 1, SCORED):
             rows, out = [], {k: [] for k in ("n", "known", "base", "rest", "words", "times")}
             for text in held_texts:
                 words = lower_words_of(text)
@@ -324,15 +380,13 @@ def _parts(docs: DataFrame, vocab: Vocabulary, weights: gru.Params) -> DataFrame
     return docs.select("id", "text").mapInArrow(run, shape)
 
 
-def scored(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE) -> DataFrame:
+def scored(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: n_tokens, n_known, train_tokens, base_score, score. ``learn`` says what may be learnt from."""
     named = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     train = named.filter("learn")
     counts = landed(counted(train), "word-counts")
-    turn = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 20))
-    sample = landed(train.filter(turn < share * (1 << 20)).select("text", F.pmod(F.xxhash64("id", F.lit(23)), F.lit(1 << 20)).alias("turn")), "lm-sample")
-    vocab = vocabulary(counts, sample)
-    parts = landed(_parts(named, vocab, trained(sample, vocab)), "lm-parts")
+    vocab = vocabulary(counts, train)
+    parts = landed(_parts(named, vocab, trained(train.select("id", "text"), vocab)), "lm-parts")
     unknown = parts.select("uid", F.explode(F.arrays_zip("words", "times")).alias("_")).select("uid", F.col("_.words").alias("word"), F.col("_.times").alias("n"))
     c = F.coalesce("c", F.lit(0))
     rare = (

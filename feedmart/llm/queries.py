@@ -164,7 +164,7 @@ def op9_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lm.scored(table(spark, sf_dir, "documents"), lm.learning_fold())
-    return found.withColumn("held_out", crc_bucket(F.col("doc_id"), 10) == 0)
+    return found.withColumn("held_out", F.coalesce(crc_bucket(F.col("doc_id"), 10) == 0, F.lit(True)))
 
 
 @query()

@@ -66,3 +66,14 @@ def test_training_learns_a_pattern():
     trained, seen = gru.train(p, [text] * 64, rate=0.02)
     assert seen == 64 * len(text)
     assert gru.scores(trained, [text])[0] > 0.5 * gru.scores(p, [text])[0]
+
+
+def test_even_windows_hold_every_token_once():
+    rng = np.random.default_rng(9)
+    for sizes in ((1,), (5, 1, 30), (100, 3, 3, 77, 1), (700,)):
+        texts = [some(rng, n) for n in sizes]
+        for n_lanes, steps in ((1, 4), (8, 3), (128, 16)):
+            got = [tokens.reshape(-1, 3) for tokens, _, _ in gru.even_windows(texts, n_lanes, steps)]
+            assert sorted(map(tuple, np.concatenate(got))) == sorted(map(tuple, np.concatenate(texts)))
+            begins = sum(int((keep == 0).sum()) for _, keep, _ in gru.even_windows(texts, n_lanes, steps))
+            assert begins == len(texts)

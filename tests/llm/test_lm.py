@@ -29,13 +29,13 @@ def words(text):
     return [w for w in low.translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ") if w]
 
 
-@pytest.mark.parametrize("known", [1 << 17, 20])
+@pytest.mark.parametrize("known", [1 << 17, 20, 2])
 def test_base_scores_equal_brute_force(spark, monkeypatch, known):
     ship(spark)
     monkeypatch.setattr(lm, "KNOWN", known)
     rows = corpus()
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, score int").repartition(3)
-    got = lm.scored(docs, lm.learning_fold(), share=1.0).collect()
+    got = lm.scored(docs, lm.learning_fold()).collect()
     c = Counter()
     for i, t in rows:
         if i is not None and crc_of(i, 10):
@@ -60,3 +60,28 @@ def test_nothing_to_learn_from(spark):
     got = lm.scored(docs, lm.learning_fold()).collect()
     assert [r["train_tokens"] for r in got] == [0, 0] and all(math.isfinite(r["score"]) for r in got)
     assert lm.scored(docs.limit(0), lm.learning_fold()).count() == 0
+
+
+def test_result_does_not_follow_the_partitions(spark, monkeypatch):
+    ship(spark)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 300)  # many shards, and more than one level of averages
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string")
+    got = []
+    for n in (1, 6):
+        rows = lm.scored(docs.repartition(n), lm.learning_fold()).collect()
+        got.append(sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["score"]) for r in rows)))
+    assert [r[:3] for r in got[0]] == [r[:3] for r in got[1]]
+    assert all(math.isclose(a[3], b[3], rel_tol=1e-5) for a, b in zip(*got, strict=True))
+
+
+def test_every_text_is_learnt_from(spark, monkeypatch):
+    """Weights after a round change with any one of the training texts."""
+    ship(spark)
+    rows = [(k, t) for k, t in corpus(40) if k is not None and t]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    vocab = lm.vocabulary(lm.counted(docs), docs)
+    seen = []
+    original = lm._mean
+    monkeypatch.setattr(lm, "_mean", lambda found: seen.append(sum(r[1] for r in found)) or original(found))
+    lm.trained(docs, vocab)
+    assert sum(seen) == vocab.total
