@@ -47,9 +47,12 @@ cc-by-nc-sa-3.0 | cc by nc sa 3 0 | (?:cc by nc sa|creative commons attribution
 cc-by-nc-sa-4.0 | cc by nc sa 4 0 | (?:cc by nc sa|creative commons attribution noncommercial sharealike) 4 0 | 4 0
 cc-by-nc-nd-3.0 | cc by nc nd 3 0 | (?:cc by nc nd|creative commons attribution noncommercial noderiv(?:s|atives)) 3 0 | 3 0
 cc-by-nc-nd-4.0 | cc by nc nd 4 0 | (?:cc by nc nd|creative commons attribution noncommercial noderiv(?:s|atives)) 4 0 | 4 0
-cc-by-sa | cc by sa | cc by sa|creative commons attribution share ?alike(?: license)? | sa
-cc-by-nc | cc by nc | cc by nc|creative commons attribution non ?commercial(?: license)? | nc
-cc-by | cc by | cc by|creative commons attribution(?: license)? | by
+cc-by-sa | cc by sa | cc by sa | cc by sa
+cc-by-sa | cc by sa | creative commons attribution share ?alike(?: license)? | creative commons attribution
+cc-by-nc | cc by nc | cc by nc | cc by nc
+cc-by-nc | cc by nc | creative commons attribution non ?commercial(?: license)? | creative commons attribution
+cc-by | cc by | cc by | cc by
+cc-by | cc by | creative commons attribution(?: license)? | creative commons attribution
 cddl-1.0 | cddl 1 [01] | common development and distribution license(?: version| v)?(?: 1 [01])? | common development
 cecill-2.1 | cecill 2 1 | cecill (?:free software )?license(?: agreement)?(?: version| v)?(?: 2 1)? | cecill
 cpl-1.0 | cpl 1 0 | common public license(?: version)?(?: 1 0)? | common public

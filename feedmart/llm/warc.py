@@ -45,6 +45,8 @@ NAMESPACE = uuid.UUID("5c7a4f0e-64a1-5b8f-9c55-7f2c5b1c7e11")
 #: Payload bytes an archive's dictionary is trained on, taken from its first records, and its size.
 TRAIN_BYTES, DICTIONARY_BYTES = 2 << 20, 32 << 10
 LEVEL = 3
+#: Tasks that read archives, at most; there are no more than archives.
+MOST_READERS = 4096
 
 
 class WarcError(ValueError):
@@ -254,7 +256,8 @@ def read(manifest: DataFrame, folder: str, id_type: str = "bigint") -> DataFrame
                 if rows:
                     yield _frame(rows)
 
-    spread = manifest.repartition(F.col("path"))
+    # a number is given, as Spark would put the few rows of a manifest into one partition otherwise
+    spread = manifest.repartition(min(MOST_READERS, max(1, manifest.count())))
     return spread.mapInArrow(run, shape).select(
         F.nullif("page_id", F.lit("")).cast(id_type).alias("page_id"), "url", "payload_bytes", "payload_digest", "record_type",
         F.nullif("refers_to", F.lit("")).cast(id_type).alias("refers_to"), "body",

@@ -73,6 +73,55 @@ def test_every_rule_has_a_trigger_in_its_matches():
     assert len(rules()) > 200
 
 
+def spelled(tree):
+    """Texts that a rule's regex matches, with each choice taken and each option left out and taken."""
+    texts = [""]
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(arg)]
+        elif name == "NOT_LITERAL":
+            more = ["x"]
+        elif name == "IN":
+            more = [spelled_set(arg)]
+        elif name == "MAX_REPEAT":
+            low, high, inner = arg
+            one = spelled(inner)
+            more = ["" for _ in range(low == 0)] + [t * max(low, 1) for t in one]
+        elif name == "SUBPATTERN":
+            more = spelled(arg[-1])
+        elif name == "BRANCH":
+            more = [t for branch in arg[1] for t in spelled(branch)]
+        else:
+            raise ValueError(name)
+        texts = [a + b for a in texts for b in more]
+    return texts
+
+
+def spelled_set(choices):
+    op, arg = choices[0]
+    return {"LITERAL": lambda: chr(arg), "RANGE": lambda: chr(arg[0]), "CATEGORY": lambda: "7", "NEGATE": lambda: "x"}[str(op)]()
+
+
+def test_every_way_to_match_holds_the_keyword_and_a_trigger():
+    for rule in rules():
+        for text in spelled(re._parser.parse(rule.regex)):
+            assert re.fullmatch(rule.regex, text), (rule, text)
+            assert rule.keyword in text, (rule, text)
+            assert any(t in text for t in TRIGGERS), (rule, text)
+
+
+def test_words_elsewhere_do_not_matter(spark):
+    title = "creative commons attribution share alike license"
+    docs = spark.createDataFrame([(1, title), (2, title + " same by once")], "doc_id long, text string")
+    assert {r["labels"] for r in license_scan.scan(docs).collect()} == {"cc-by-sa"}
+
+
+def test_rows_without_an_id(spark):
+    docs = spark.createDataFrame([(None, "mit license"), (None, "cc by"), (1, None)], "doc_id long, text string")
+    assert sorted(r["labels"] for r in license_scan.scan(docs).collect()) == ["", "cc-by", "mit"]
+
+
 def test_longer_match_suppresses_the_name_within(spark):
     docs = spark.createDataFrame([(1, "under the Mozilla Public License 2.0 now")], "doc_id long, text string")
     assert license_scan.scan(docs).first()["labels"] == "mpl-2.0"

@@ -50,6 +50,25 @@ def test_stages(spark, tmp_path):
     assert kept["decontamination"] == without(203)
 
 
+def test_rows_without_an_id_or_with_one_id_are_told_apart(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = planted(spark, folder)
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").filter("item_id = 1").first()["text"]
+    rng = random.Random(12)
+
+    def prose(n=90):
+        return " ".join("".join(rng.choices("aeioulmnrst", k=rng.choice([2, 4, 6]))) for _ in range(n))
+
+    clean = [prose() for _ in range(6)]
+    more = [(None, clean[0]), (None, clean[1]), (None, clean[1]), (700, clean[2]), (700, clean[3]), (701, clean[4]), (701, clean[4])]
+    more += [(None, f"{clean[5]} {item}"), (700, f"{prose()} {item}"), (None, None), (None, rows[3][1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in more], "doc_id long, text string, lang string, source string, n_chars long")
+    near = STAGES["near duplicates"](spark, docs, folder).collect()
+    assert sorted(str(r["text"]) for r in near) == sorted({str(t) for _, t in more})
+    kept = STAGES["decontamination"](spark, docs, folder).collect()
+    assert sorted(str(r["text"]) for r in kept) == sorted(str(t) for _, t in more if item not in (t or ""))
+
+
 def test_whole(spark, tmp_path):
     folder = str(tmp_path)
     planted(spark, folder)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import os
 import random
+import re
+import time
 
 import pytest
 
 from feedmart.llm import toxicity
+from feedmart.llm import toxicity_lexicon as lexicon
 from feedmart.llm.common import ship
 from feedmart.llm.toxicity import ARCS, Grammar, clause_arcs, score_of
 
@@ -31,6 +34,55 @@ def test_arcs_of_clauses():
     assert used(None) == used("") == []
 
 
+def test_what_a_negation_governs():
+    for text in ("I will kill you", "No, I will kill you", "I will not rest until I kill you", "no one knows when, but they kill you"):
+        assert [u.get("threat") for u in used(text)] == [1], text
+    for text in ("we don't kill you", "they won’t ever kill him", "no we never kill you"):
+        assert used(text) == [], text
+    assert used("you aren't stupid") == used("you aren’t stupid") == used("you are not stupid") == [{"negated": 1, "targeted": 1}]
+    assert used("you are stupid") == [{"insult": 1, "targeted": 1}]
+    assert used("l'idiot n'est pas là") == [{"insult": 1}]
+
+
+def read_plainly(clause):
+    """The grammar's rules on one clause, without automata."""
+    words = re.findall(r"[^\W\d_]*n['’]t(?![^\W\d_])|[^\W\d_]+|,", clause.lower())
+    uses, reported, aimed, threats, people, insults = dict.fromkeys(ARCS, 0), False, False, 0, 0, 0
+    for k, w in enumerate(words):
+        since = [x for x in range(max(0, k - toxicity.REACH), k) if words[x] in lexicon.NEGATIONS or words[x].endswith(("n't", "n’t"))]
+        governed = any("," not in words[x:k] for x in since)
+        if f"{w}$" in PLAIN.insults:
+            uses["negated" if governed else "reported" if reported else "insult"] += 1
+            insults += 1
+        elif w in lexicon.TARGETS:
+            people += 1
+        elif w in lexicon.THREATS and not governed:
+            threats += 1
+        reported |= w in lexicon.REPORTS
+    uses["targeted"], uses["threat"] = int(insults > 0 and people > 0), int(threats > 0 and people > 0)
+    return {a: n for a, n in uses.items() if n}
+
+
+def test_clauses_equal_a_plain_reading():
+    rng = random.Random(6)
+    words = ["idiot", "scum", "kill", "destroy", "you", "them", "not", "never", "don't", "said", "the", "house", "of", ",", ","]
+    for _ in range(3000):
+        clause = " ".join(rng.choice(words) for _ in range(rng.randrange(1, 12)))
+        expected = read_plainly(clause)
+        assert used(clause) == ([expected] if expected else []), clause
+
+
+def test_time_grows_with_the_text():
+    def taken(n):
+        text = "you idiot. " * n
+        begin = time.perf_counter()
+        clause_arcs(text, PLAIN.insults)
+        return time.perf_counter() - begin
+
+    taken(1000)
+    assert taken(80_000) < 12 * taken(10_000)
+
+
 def test_scores_order_and_bounds():
     values = [score_of(t, PLAIN) for t in ("good day", "he is not an idiot", "an idiot", "you idiot")]
     assert values == sorted(values) and 0 < values[0] < 0.3 < values[-1] < 1
