@@ -6,6 +6,7 @@ import itertools
 import os
 import random
 import re
+import time
 
 import pytest
 
@@ -56,6 +57,53 @@ def test_page_without_marks():
     assert "Link" not in got and got.count("council") == 12 and "Short." in got
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "header-fixed", "share-enabled", "story", "with-nav page"])
+def test_names_of_the_layout_lose_nothing(name):
+    body = f"<h2>Title</h2><p>{WORDS}</p><p>{WORDS * 2}</p>"
+    plain = main_text(f"<body><div>{body}</div></body>")
+    assert main_text(f'<body><div class="{name}">{body}</div></body>') == plain and plain.count("council") == 3
+    assert main_text(f'<body><div class="{name}"><div class="entry-content">{body}</div></div></body>') == plain
+
+
+def test_named_text_counts_inside_what_is_no_main_text():
+    page = f'<div class="sidebar">Links here<div class="entry-content"><p>{WORDS * 2}</p></div></div>'
+    assert main_text(page) == (WORDS * 2).strip()
+    replies = f'<article><p>{WORDS}</p></article><div id="comments"><article class="comment"><div class="entry-content"><p>{WORDS * 3}</p></div></article></div>'
+    assert main_text(replies) == WORDS.strip()
+
+
+def test_the_cut_can_outvote_a_name():
+    rich = WORDS * 5
+    page = f"<body><div><p>{rich}</p><p>{rich}</p><p class='notice'>{rich}</p><p>{rich}</p><p>{rich}</p></div></body>"
+    assert main_text(page).count("council") == 25
+    assert html_main.leaning(html_main.blocks(f"<p class='notice'>{rich}</p>")[0]) < 0
+
+
+def test_formulas_and_buttons_are_text():
+    assert main_text(f"<article><p>{WORDS}<math><mi>x</mi></math> <button>and more</button></p></article>") == f"{WORDS}x and more"
+
+
+def test_open_quotes_leave_no_markup():
+    got = main_text(f'<article><p class="a>{WORDS}</p></article>')
+    assert got == WORDS.strip()
+
+
+def test_time_grows_with_the_page():
+    def taken(page):
+        begin = time.perf_counter()
+        main_text(page)
+        return time.perf_counter() - begin
+
+    for make in (
+        lambda n: f"<div>{WORDS}" * n,
+        lambda n: "<svg>" * n + WORDS,
+        lambda n: "<div>" * n + "x</section>" * n,
+        lambda n: "<div>" * n + "x" + "</div>" * n,
+    ):
+        taken(make(500))
+        assert taken(make(20_000)) < 14 * taken(make(2_500)) + 0.05
+
+
 def test_odd_pages():
     for page in (None, "", "   ", "<", "<p", "<!-- open", "<script>x", "a < b", "<p>x</p></div></b>", "<a href='>'>" * 50):
         assert isinstance(main_text(page), str)
