@@ -42,8 +42,8 @@ ENDINGS, TAILS = 1024, 32
 ANCHORS = 64
 KNOWN, KNOWN_BYTES = 1 << 17, 64
 ROUNDS = 3
-SHARD_TOKENS, MOST_SHARDS = 1 << 20, 4096
-LANES, STEPS, RATE = 128, 16, 0.02
+SHARD_TOKENS, MOST_SHARDS = 1 << 22, 4096
+LANES, STEPS, RATE = 256, 32, 0.02
 #: Shards whose weights are averaged in one task, and at most so many rows that come to the driver.
 FAN_IN = 16
 #: The word no text can hold: it ends every text.
