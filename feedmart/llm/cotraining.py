@@ -1,19 +1,22 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-Each view is a logistic regression on its own features. After a first fit to labelled rows, every round
-lets each view label the unlabelled rows it is confident about, and these labels train the *other* view
-together with the true ones. How confident is confident enough is read off labelled rows kept for
-calibration: a threshold counts only if the view is right there often enough, so a view that knows little
-teaches nothing. In the end each view is calibrated on those rows, and the calibrated views are combined.
-
-All rows take part in every step. A step is one pass in which tasks sum gradients and curvatures (a few
-thousand numbers each) over the table of features; only the sums reach the driver, whatever the number
+Each view is a logistic regression on its own features: of the text its shape, its repetition and hashed
+words, of the metadata language, source and size. After a first fit to labelled rows, every round lets
+each view label the unlabelled rows it is surest about, and these labels train the *other* view together
+with the true ones. Surest is a rank: the ``SHARE`` of all unlabelled rows with the highest scores and
+the same with the lowest, so both views teach whatever the number of labels. What a label weighs follows
+from labelled rows kept for calibration: how much more often than chance, and than not, the view is right
+beyond its threshold; one that knows no more than that weighs nothing. In the end each view is calibrated on
+those rows, and the calibrated views are combined.
+
+All rows take part in every step. A step is one pass in which tasks sum gradients and curvatures (some
+ten thousand numbers each) over the table of features; only the sums reach the driver, whatever the number
 of rows, and nothing is sampled.
 
 Defined results: null and empty texts are scored by the features of an empty text; null metadata is a
 value of its own; repeated rows are scored alike; several labels of one id count as their mean; rows
-without an id are unlabelled; without labels of both kinds every score is the share of good labels, or
-0.5; an empty table gives an empty result.
+without an id are unlabelled and held out; without labels of both kinds every score is the share of good
+labels, or 0.5; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,21 +34,24 @@ from pyspark.sql import functions as F
 from feedmart.llm.common import crc_bucket, landed, words_of
 
 ROUNDS, STEPS = 3, 4
-#: What a pseudo-label weighs next to a label, and how often its view has to be right, on how many rows.
-PSEUDO, RIGHT, SUPPORT = 0.2, 0.97, 50
+#: What a pseudo-label weighs at most next to a label, and the share of unlabelled rows a view labels per side.
+PSEUDO, SHARE = 0.2, 0.1
 RIDGE = 1.0
 BINS = 100
 
 LANGS, SOURCES, SIZES = 16, 64, 12
 META = 1 + LANGS + SOURCES + SIZES
-TEXT = 18
+#: A language, two slots of a source (few sources share both), and a size.
+PLACES = 4
+SHAPE, WORDS = 18, 64
+TEXT = SHAPE + WORDS
 
 
 # --- features ---------------------------------------------------------------------------------------
 
 
 def text_features(text: str | None) -> list[float]:
-    """Shape and repetition of a text; 1 first."""
+    """Shape and repetition of a text, 1 first, then the share of its words in each of ``WORDS`` slots."""
     text = text or ""
     raw, words = text.encode("utf-8", "surrogatepass"), words_of(text)
     n, size = max(len(words), 1), max(len(raw), 1)
@@ -58,21 +64,22 @@ def text_features(text: str | None) -> list[float]:
     repeated = 1 - len(set(triples)) / len(triples) if triples else 0.0
     lines = [line for line in raw.split(b"\n") if line.strip()]
     dup = 1 - len(set(lines)) / len(lines) if lines else 0.0
-    often = max(Counter(words).values(), default=0) / n
+    count = Counter(words)
+    often = max(count.values(), default=0) / n
+    slots = [0.0] * WORDS
+    for word, times in count.items():
+        slots[zlib.crc32(word.lower()) % WORDS] += times
     symbols, bangs = share(b"#*$%&|<>~^_=+\\{}[]@"), share(b"!?")
     shout = upper / max(upper + lower, 1e-9)
     length = np.log1p(len(words))
     return [
         1.0, length / 5, (length / 5) ** 2, float(len(words) < 20), min(len(raw) / n, 40) / 10, min(symbols, 0.3) * 5, float(symbols > 0.05),
         min(bangs, 0.3) * 5, float(bangs > 0.05), shout, float(shout > 0.5), repeated, float(repeated > 0.3), dup, often,
-        len(set(words)) / n, min(share(b"0123456789"), 0.3) * 3, share(b".,;:") * 5,
+        len(count) / n, min(share(b"0123456789"), 0.3) * 3, share(b".,;:") * 5,
+        *(4 * x / n for x in slots),
     ]
 
 
-def _bucket(value: str | None, salt: str, n: int) -> int:
-    return zlib.crc32(f"{salt}:{value}".encode("utf-8", "surrogatepass")) % n
-
-
 def _feature_column(text: Column) -> Column:
     @F.pandas_udf("array<float>")
     def run(column: pd.Series) -> pd.Series:
@@ -82,17 +89,16 @@ def _feature_column(text: Column) -> Column:
 
 
 def _meta_column(lang: Column, source: Column, n_chars: Column) -> Column:
-    """Places of the three ones in the metadata vector, besides the constant."""
+    """Places of the ones in the metadata vector, besides the constant."""
 
-    @F.pandas_udf("array<int>")
-    def run(langs: pd.Series, sources: pd.Series, sizes: pd.Series) -> pd.Series:
-        rows = []
-        for a, b, n in zip(langs, sources, sizes):
-            size = min(int(np.log2(n + 1) * 0.75), SIZES - 1) if n >= 0 else 0
-            rows.append([1 + _bucket(a, "l", LANGS), 1 + LANGS + _bucket(b, "s", SOURCES), 1 + LANGS + SOURCES + size])
-        return pd.Series(rows)
+    def slot(value: Column, salt: str, n: int) -> Column:
+        return F.crc32(F.concat(F.lit(f"{salt}:"), F.coalesce(value.cast("string"), F.lit("")), F.when(value.isNull(), "-").otherwise("+"))) % n
 
-    return run(lang, source, F.coalesce(n_chars.cast("long"), F.lit(-1)))
+    n = F.coalesce(n_chars.cast("long"), F.lit(-1))
+    size = F.when(n >= 0, F.least(F.floor(F.log2(F.greatest(n, F.lit(0)) + 1) * 0.75), F.lit(SIZES - 1))).otherwise(0)
+    first = 1 + LANGS
+    places = [1 + slot(lang, "l", LANGS), first + slot(source, "s", SOURCES), first + slot(source, "t", SOURCES), first + SOURCES + size]
+    return F.array(*[p.cast("int") for p in places])
 
 
 def prepared(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str, size_col: str) -> DataFrame:
@@ -116,7 +122,7 @@ def prepared(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lan
 def _matrices(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     n = batch.num_rows
     x = batch.column("text_x").flatten().to_numpy(zero_copy_only=False).reshape(n, TEXT).astype(float)
-    places = batch.column("meta_x").flatten().to_numpy(zero_copy_only=False).reshape(n, 3)
+    places = batch.column("meta_x").flatten().to_numpy(zero_copy_only=False).reshape(n, PLACES)
     z = np.zeros((n, META))
     z[:, 0] = 1
     z[np.arange(n)[:, None], places] = 1
@@ -152,10 +158,13 @@ def _labels(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return y, batch.column("fold").to_numpy(zero_copy_only=False)
 
 
-def _taught(p: np.ndarray, sure: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+Sure = tuple[float, float, float, float]
+
+
+def _taught(p: np.ndarray, sure: Sure) -> tuple[np.ndarray, np.ndarray]:
     """(label, weight) a view gives the other for rows of these probabilities."""
     yes, no = p >= sure[1], p <= sure[0]
-    return yes.astype(float), PSEUDO * (yes | no)
+    return yes.astype(float), np.where(yes, sure[3], 0.0) + np.where(no, sure[2], 0.0)
 
 
 def fitted(rows: DataFrame, views: tuple[np.ndarray, np.ndarray], teachers: tuple | None) -> tuple[np.ndarray, np.ndarray]:
@@ -201,31 +210,49 @@ def middle(k: np.ndarray) -> np.ndarray:
     return (np.asarray(k) + 0.5) * 16 / BINS - 8
 
 
-def calibration_counts(rows: DataFrame, views: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Labelled rows kept for calibration by (text bin, metadata bin, label)."""
+def calibration_counts(rows: DataFrame, views: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled rows kept for calibration by (text bin, metadata bin, label), and unlabelled rows by (view,
+    bin)."""
 
     def run(batch: pa.RecordBatch) -> np.ndarray:
         x, z = _matrices(batch)
         y, fold = _labels(batch)
-        use = ~np.isnan(y) & (fold == 1)
-        k = (_bins(sigmoid(x[use] @ views[0])) * BINS + _bins(sigmoid(z[use] @ views[1]))) * 2 + y[use].astype(int)
-        return np.bincount(k, minlength=BINS * BINS * 2).astype(float)
-
-    return _sum(rows, run, BINS * BINS * 2).reshape(BINS, BINS, 2)
-
-
-def thresholds(counts: np.ndarray) -> tuple[float, float]:
-    """(bad below, good above) for one view, from counts (bin, label); unreachable ones where the view
-    is not right often enough."""
-    below, above = counts.cumsum(axis=0), counts[::-1].cumsum(axis=0)[::-1]
-    low, high = -1.0, 2.0
-    for k in range(BINS):
-        if below[k].sum() >= SUPPORT and below[k][0] >= RIGHT * below[k].sum() and middle(k) < 0:
-            low = float(sigmoid(middle(k)))
-        j = BINS - 1 - k
-        if above[j].sum() >= SUPPORT and above[j][1] >= RIGHT * above[j].sum() and middle(j) > 0:
-            high = float(sigmoid(middle(j)))
-    return low, high
+        use, free = ~np.isnan(y) & (fold == 1), np.isnan(y)
+        by_text, by_meta = _bins(sigmoid(x @ views[0])), _bins(sigmoid(z @ views[1]))
+        k = (by_text[use] * BINS + by_meta[use]) * 2 + y[use].astype(int)
+        every = [np.bincount(k, minlength=BINS * BINS * 2)] + [np.bincount(b[free], minlength=BINS) for b in (by_text, by_meta)]
+        return np.concatenate(every).astype(float)
+
+    known, free = np.split(_sum(rows, run, BINS * BINS * 2 + 2 * BINS), [BINS * BINS * 2])
+    return known.reshape(BINS, BINS, 2), free.reshape(2, BINS)
+
+
+def thresholds(counts: np.ndarray, free: np.ndarray) -> Sure:
+    """(bad up to, good from, weight of bad, weight of good) for one view, from calibration counts (bin,
+    label) and unlabelled rows by bin: the bins at either end that hold ``SHARE`` of the unlabelled rows, or
+    the first one that holds any, on the view's own side of one half."""
+    edges = sigmoid(np.arange(BINS + 1) * 16 / BINS - 8)
+    total = counts.sum(axis=0) + 1
+    out = []
+    for label, bins in ((0, np.arange(BINS // 2)), (1, np.arange(BINS - 1, BINS // 2 - 1, -1))):
+        reached = np.cumsum(free[bins])
+        inside = (reached <= SHARE * free.sum()) | (reached - free[bins] == 0)
+        taken = bins[inside]
+        chance = total[label] / total.sum()
+        # few rows say little more than chance; and a label that is wrong more often than not teaches nothing
+        right = (counts[taken, label].sum() + 2 * chance) / (counts[taken].sum() + 2)
+        least = max(chance, 0.5)
+        weight = PSEUDO * max(0.0, (right - least) / (1 - least))
+        last = taken[-1]
+        out.append((edges[last + 1] - 1e-12 if label == 0 else edges[last], weight))
+    return float(out[0][0]), float(out[1][0]), float(out[0][1]), float(out[1][1])
+
+
+def taught_rows(free: np.ndarray, sure: Sure) -> int:
+    """How many unlabelled rows a view labels with some weight."""
+    edges = sigmoid(np.arange(BINS + 1) * 16 / BINS - 8)
+    no, yes = edges[1:] <= sure[0] + 1e-9, edges[:-1] >= sure[1] - 1e-9
+    return int(free[no].sum() * (sure[2] > 0) + free[yes].sum() * (sure[3] > 0))
 
 
 def logistic(x: np.ndarray, bad: np.ndarray, good: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -255,6 +282,19 @@ def combined(counts: np.ndarray) -> np.ndarray:
 # --- all together -----------------------------------------------------------------------------------
 
 
+def cotrained(rows: DataFrame, rounds: int = ROUNDS) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, list[tuple[int, int]]]:
+    """(views, calibration counts, per round how many rows the text view and the metadata view labelled)."""
+    views = fitted(rows, (np.zeros(TEXT), np.zeros(META)), None)
+    counts, free = calibration_counts(rows, views)
+    taught = []
+    for _ in range(rounds):
+        sure = (thresholds(counts.sum(axis=1), free[0]), thresholds(counts.sum(axis=0), free[1]))
+        taught.append((taught_rows(free[0], sure[0]), taught_rows(free[1], sure[1])))
+        views = fitted(rows, views, (views, sure))
+        counts, free = calibration_counts(rows, views)
+    return views, counts, taught
+
+
 def classify(
     docs: DataFrame,
     labels: DataFrame,
@@ -270,12 +310,7 @@ def classify(
     Labels whose id falls into crc fold 2 of 4 are never learnt from.
     """
     rows = prepared(docs, labels, id_col, text_col, lang_col, source_col, size_col)
-    views = fitted(rows, (np.zeros(TEXT), np.zeros(META)), None)
-    counts = calibration_counts(rows, views)
-    for _ in range(rounds):
-        sure = (thresholds(counts.sum(axis=1)), thresholds(counts.sum(axis=0)))
-        views = fitted(rows, views, (views, sure))
-        counts = calibration_counts(rows, views)
+    views, counts, _ = cotrained(rows, rounds)
     c = combined(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,5 +326,5 @@ def classify(
 
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.select("id", "text_x", "meta_x").mapInArrow(run, f"id {kind}, text_score double, meta_score double, score double")
-    held_out = (crc_bucket(F.col("id"), 4) == 2).alias("held_out")
+    held_out = F.coalesce(crc_bucket(F.col("id"), 4) == 2, F.lit(True)).alias("held_out")
     return found.select(F.col("id").alias(id_col), held_out, "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("kept"))

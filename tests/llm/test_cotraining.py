@@ -12,14 +12,108 @@ from feedmart.llm import cotraining as C
 from feedmart.llm.common import ship
 
 
-def test_thresholds_need_support_and_precision():
+def test_thresholds_are_ranks_weighed_by_calibration():
+    free = np.ones(C.BINS)
     counts = np.zeros((C.BINS, 2))
-    counts[90, 1], counts[10, 0] = 100, 100
-    low, high = C.thresholds(counts)
-    assert low < 0.5 < high
-    counts[90, 0] = 50
-    assert C.thresholds(counts)[1] == 2.0
-    assert C.thresholds(np.ones((C.BINS, 2)) * 0.1) == (-1.0, 2.0)
+    counts[95, 1], counts[4, 0] = 100, 100
+    low, high, bad, good = C.thresholds(counts, free)
+    assert low < 0.01 and high > 0.99 and 0.15 < bad <= C.PSEUDO and 0.15 < good <= C.PSEUDO
+    assert C.taught_rows(free, (low, high, bad, good)) == 2 * C.SHARE * C.BINS
+    counts[95, 0] = counts[95, 1]  # no better than chance
+    assert C.thresholds(counts, free)[3] < bad
+    counts[:, 0], counts[:, 1] = 1, 1
+    assert C.thresholds(counts, free)[2:] == (0.0, 0.0)
+    few = np.zeros(C.BINS)
+    few[70], few[20] = 5, 1  # the first bin that holds any row counts even if it holds more than the share
+    _, high, _, _ = C.thresholds(np.zeros((C.BINS, 2)), few)
+    assert abs(high - C.sigmoid(70 * 16 / C.BINS - 8)) < 1e-9
+
+
+def plain(x, z, y, fold, rounds):
+    """The rounds in one place, on whole matrices."""
+
+    def fit(views, said):
+        for _ in range(C.STEPS):
+            new = []
+            for k, m in enumerate((x, z)):
+                target, weight = np.where(np.isnan(y), 0, y), (~np.isnan(y) & (fold == 0)).astype(float)
+                if said is not None:
+                    for i in np.flatnonzero(np.isnan(y)):
+                        target[i], weight[i] = said[1 - k][i]
+                p = 1 / (1 + np.exp(-np.clip(m @ views[k], -30, 30)))
+                slope = m.T @ (weight * (target - p)) - C.RIDGE * views[k]
+                curve = m.T @ np.diag(weight * p * (1 - p)) @ m + C.RIDGE * np.eye(m.shape[1])
+                new.append(views[k] + np.clip(np.linalg.solve(curve, slope), -4, 4))
+            views = new
+        return views
+
+    def say(m, w):
+        """(label, weight) per row, by ranks of bins."""
+        p = 1 / (1 + np.exp(-np.clip(m @ w, -30, 30)))
+        at, free, held = C._bins(p), np.isnan(y), ~np.isnan(y) & (fold == 1)
+        out = [(0.0, 0.0)] * len(y)
+        for label in (0, 1):
+            order = range(C.BINS // 2) if label == 0 else range(C.BINS - 1, C.BINS // 2 - 1, -1)
+            taken, n = set(), 0
+            for b in order:
+                here = int((at[free] == b).sum())
+                if n + here > C.SHARE * free.sum() and n > 0:
+                    break
+                taken.add(b)
+                n += here
+            inside = np.array([b in taken for b in at])
+            chance = ((y[held] == label).sum() + 1) / (held.sum() + 2)
+            right = ((y[held & inside] == label).sum() + 2 * chance) / ((held & inside).sum() + 2)
+            weight = C.PSEUDO * max(0.0, (right - max(chance, 0.5)) / (1 - max(chance, 0.5)))
+            for i in np.flatnonzero(inside):
+                out[i] = (float(label), weight)
+        return out
+
+    views = fit([np.zeros(C.TEXT), np.zeros(C.META)], None)
+    for _ in range(rounds):
+        views = fit(views, (say(x, views[0]), say(z, views[1])))
+    return views
+
+
+def test_rounds_equal_a_plain_version_and_both_views_teach(spark):
+    ship(spark)
+    data = rows()
+    docs = spark.createDataFrame([r[:5] for r in data], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(r[0], int(r[5])) for r in data if r[0] % 2], "doc_id long, quality int")
+    prepared = C.prepared(docs, labels, "doc_id", "text", "lang", "source", "n_chars")
+    views, _, taught = C.cotrained(prepared, 2)
+    held = prepared.collect()
+    x = np.array([r["text_x"] for r in held], float)
+    z = np.zeros((len(held), C.META))
+    z[:, 0] = 1
+    for i, r in enumerate(held):
+        z[i, r["meta_x"]] = 1
+    y = np.array([np.nan if r["y"] is None else r["y"] for r in held], float)
+    expected = plain(x, z, y, np.array([r["fold"] for r in held]), 2)
+    assert np.allclose(views[0], expected[0], atol=1e-6) and np.allclose(views[1], expected[1], atol=1e-6)
+    assert all(a > 0 and b > 0 for a, b in taught)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_both_views_teach_on_little_data(spark):
+    ship(spark)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    _, _, taught = C.cotrained(C.prepared(docs, labels, "doc_id", "text", "lang", "source", "n_chars"))
+    assert len(taught) == C.ROUNDS and all(a > 0 and b > 0 for a, b in taught)
+
+
+def test_words_tell_texts_of_one_shape_apart(spark):
+    ship(spark)
+    rng = random.Random(3)
+    good, bad = ["river", "stone", "cloud", "field"], ["cheap", "pills", "order", "click"]
+    data = []
+    for k in range(400):
+        words = [rng.choice(good if k % 2 else bad) if rng.random() < 0.3 else "".join(rng.choice("aeiou") for _ in range(5)) for _ in range(60)]
+        data.append((k, " ".join(words), "en", "s", 359))
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(0, 400)], "doc_id long, quality int")
+    got = [r for r in C.classify(docs, labels).collect() if r["held_out"]]
+    assert np.mean([r["kept"] == bool(r["doc_id"] % 2) for r in got]) > 0.95
 
 
 def test_combination_follows_the_better_view():
