@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmart.functions import keys as keys_of
+
 
 def newest(
     df: DataFrame,
@@ -34,6 +36,11 @@ def newest(
     return df.withColumn("__rank", F.row_number().over(ranked)).where("__rank = 1").drop("__rank")
 
 
+def by_version(names: Sequence[str], paths: Sequence[str] = ("file_path",)) -> list[Column | str]:
+    """An order for ``newest``: the largest values first, file paths by the numbers in them."""
+    return [keys_of.natural(n).desc_nulls_last() if n in paths else n for n in names]
+
+
 def split_by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The rows whose key is whole, and those that lack a part of it: together all rows, each once.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from feedmart.functions import keys, labels, money, times
-from feedmart.operators.dedupe import newest, split_by_key
+from feedmart.operators.dedupe import by_version, newest, split_by_key
 from feedmart.operators.lookup import lookup
 from feedmart.operators.nested import elements
 from feedmart.sources import feeds, schemas
@@ -74,7 +74,7 @@ def flights(base: DataFrame, airports: DataFrame) -> DataFrame:
     """One row per flight, with its times in UTC. An unknown airport counts as UTC; ``tz_known``
     tells."""
     keyed = base.where(F.col("air_id").isNotNull())
-    single = newest(keyed.drop("fare", "seat_class"), ["air_id"], NEWEST)
+    single = newest(keyed.drop("fare", "seat_class"), ["air_id"], by_version(NEWEST))
     return with_utc(single, airports).select(
         "air_id",
         "airline",
@@ -114,7 +114,7 @@ def with_utc(df: DataFrame, airports: DataFrame) -> DataFrame:
 def fares(base: DataFrame) -> DataFrame:
     """One row per flight, class, agent and crawl day. Flights without fares give none."""
     keyed, _ = split_by_key(_priced(base), FARE_PARTS)
-    return newest(keyed, FARE_KEYS, ["file_path"])
+    return newest(keyed, FARE_KEYS, by_version(["file_path"]))
 
 
 def _priced(base: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from feedmart.functions import keys, labels, money, times
 from feedmart.operators import itinerary
-from feedmart.operators.dedupe import having_key, newest, split_by_key
+from feedmart.operators.dedupe import by_version, having_key, newest, split_by_key
 from feedmart.operators.nested import elements, entries, positioned
 from feedmart.plans.domestic import FARE_KEYS, NEWEST, rejected, with_utc
 from feedmart.sources import feeds, schemas
@@ -73,7 +73,7 @@ def itineraries(base: DataFrame) -> DataFrame:
         "fetched_date",
         "file_path",
     )
-    return newest(named, ["full_air_id"], NEWEST)
+    return newest(named, ["full_air_id"], by_version(NEWEST))
 
 
 _CARRY = ["journey_time", "fetched_date", "file_path"]
@@ -115,7 +115,7 @@ def flights(known_trips: DataFrame) -> DataFrame:
     itinerary, the newest report counts, and of equally new ones the itinerary."""
     reports = itinerary.flights(known_trips, ["fetched_date", "file_path"])
     return newest(
-        reports.where(F.col("air_id").isNotNull()), ["air_id"], ["fetched_date", "listed", "file_path"]
+        reports.where(F.col("air_id").isNotNull()), ["air_id"], by_version(["fetched_date", "listed", "file_path"])
     ).withColumn("depart_date", F.to_date("depart_local_ts"))
 
 
@@ -124,7 +124,7 @@ def fares(
 ) -> DataFrame:
     """One row per id, class, agent, crawl day and fare class, for one payment option."""
     keyed, _ = split_by_key(_priced(base, option_label), FARE_PARTS)
-    single = newest(keyed, FARE_KEYS, ["file_path"])
+    single = newest(keyed, FARE_KEYS, by_version(["file_path"]))
     return having_key(single, itinerary.air_ids(known_trips), "air_id")
 
 

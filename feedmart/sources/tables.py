@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from feedmart.operators.dedupe import newest
+from feedmart.functions.keys import natural
+from feedmart.operators.dedupe import by_version, newest
 from feedmart.operators.keyed import marked, same_key, without
 from feedmart.session import reused
+from feedmart.sources.feeds import FILE_PATH
 
 
 @dataclass(frozen=True)
@@ -105,7 +107,7 @@ class KeyedTable:
         if landed:
             self._rewrite(updates.sparkSession, updates, self.merged)
             return
-        with reused(newest(updates, self.keys, [*self.version, *order])) as new:
+        with reused(newest(updates, self.keys, [*by_version(self.version), *order])) as new:
             self._rewrite(updates.sparkSession, new, self.merged)
 
     def replace(self, touched: DataFrame, rows: DataFrame) -> None:
@@ -133,7 +135,7 @@ class KeyedTable:
         both = left.join(right, same_key(self.keys), "full_outer")
         changed = F.col("__new").isNotNull()
         if self.version:
-            old, new = (F.struct(*[F.col(side)[v] for v in self.version]) for side in ("__before", "__new"))
+            old, new = (F.struct(*[_version_part(side, v) for v in self.version]) for side in ("__before", "__new"))
             changed &= F.col("__before").isNull() | ~(old > new)
         return both.select(
             F.when(changed, F.col("__new")).otherwise(F.col("__before")).alias("__row"),
@@ -361,6 +363,11 @@ class Folder:
             return None
 
 
+def _version_part(row: str, name: str) -> Column:
+    value = F.col(row)[name]
+    return natural(value) if name == FILE_PATH else value
+
+
 def _value_of(partition: str) -> str:
     return unquote(partition.partition("=")[2])
 

@@ -165,3 +165,12 @@ def test_split_by_key(spark, rows):
     assert rows(whole, "v") == [(5,), (5,)]
     assert rows(keyless, "v", "lacks") == [(6, ["k"]), (6, ["k"]), (7, ["d"]), (8, ["k", "d"])]
     assert whole.columns == df.columns
+
+
+def test_paths_are_ordered_by_their_numbers(spark):
+    names = ["a/file-9.json", "a/file-10.json", "a/file-009b", "a/file-0", "b", "a/file-", "a/file-100/2", "a/file-100/11"]
+    df = spark.createDataFrame([(n,) for n in names], "file_path string")
+    got = [r[0] for r in df.orderBy(keys.natural("file_path")).collect()]
+    assert got == ["a/file-", "a/file-0", "a/file-9.json", "a/file-009b", "a/file-10.json", "a/file-100/2", "a/file-100/11", "b"]
+    one = dedupe.newest(df.withColumn("k", F.lit(1)), ["k"], dedupe.by_version(["file_path"]))
+    assert one.first()["file_path"] == "b"
