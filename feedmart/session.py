@@ -18,7 +18,7 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder that every executor can reach.
+    """A new place that every executor can reach, removed when the application ends.
 
     It lies in the folder the cluster names in ``spark.checkpoint.dir``. A local session may leave
     that unset; then a fresh temporary folder of this machine is enough.
@@ -28,7 +28,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="feedmart-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        _until_the_end(spark, base)
+    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _until_the_end(spark, folder)
+    return f"{folder}/data"
+
+
+def _until_the_end(spark: SparkSession, folder: str) -> None:
+    """Make a folder that its file system deletes as the driver's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
 
 
 @contextmanager
