@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from acceptance.nested import _PLACES
 from acceptance.registry import query
-from acceptance.views import LEG, ZONE, airports, domestic_feed, international_feed
+from acceptance.views import LEG, ZONE, airports, domestic_feed, international_feed, repeat_feed
 from feedmart.operators.rollup import daily_rollup
 from feedmart.plans import domestic, international, runs
 from feedmart.plans.warehouse import Warehouse
@@ -118,6 +118,61 @@ def stream_to_rollup(spark, sf_dir):
     return _plain(warehouse.daily.read(spark))
 
 
+_REPEATS = f"""
+WITH {ZONE}, known AS (
+  SELECT o_orderkey, o_orderpriority, d.n_name AS depart_airport, a.n_name AS arrival_airport, dz.tz AS dep_zone,
+    az.tz AS arr_zone, o_orderdate + to_hours(6) + to_minutes(o_orderkey % 600) AS dep, o_orderkey % 3 = 0 AS again,
+    60 + o_orderkey % 240 + CASE WHEN o_orderkey % 3 = 0 THEN 30 ELSE 0 END AS minutes,
+    CAST(round(o_totalprice * 100) AS BIGINT) + o_orderkey % 7 AS price
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation d ON c_nationkey = d.n_nationkey
+    JOIN nation a ON a.n_nationkey = (d.n_nationkey + o_orderkey) % 25
+    LEFT JOIN zone dz ON dz.n_name = d.n_name LEFT JOIN zone az ON az.n_name = a.n_name),
+flight AS (
+  SELECT *, strftime(dep, '%Y%m%d%H%M') || depart_airport || arrival_airport || 'AAF' || o_orderkey || 'Y' AS air_id,
+    CASE WHEN again THEN 'Late ' ELSE '' END || o_orderpriority AS airline
+  FROM known)"""
+
+
+def _repeats(spark, sf_dir):
+    return feeds.scan(spark, repeat_feed(spark, sf_dir), domestic.read_schema(), files="domestic-*.json")
+
+
+@query(
+    _REPEATS
+    + """
+SELECT air_id, airline, depart_airport, epoch_us(timezone(coalesce(dep_zone, 'UTC'), dep)) AS depart_us, arrival_airport,
+  epoch_us(timezone(coalesce(arr_zone, 'UTC'), dep + to_minutes(CAST(minutes AS INTEGER)))) AS arrival_us,
+  CAST(minutes AS INTEGER) AS journey_time, false AS is_layover, strftime(dep, '%Y-%m-%d') AS depart_date,
+  dep_zone IS NOT NULL AND arr_zone IS NOT NULL AS tz_known
+FROM flight"""
+)
+def repeated_flights(spark, sf_dir):
+    """Flights that occur in documents of two days, with both ends in zones: the newest one counts."""
+    tables = domestic.tables(feeds.records(_repeats(spark, sf_dir)), airports(spark, sf_dir))
+    return _plain(tables["flight_info"].drop(*_VERSION))
+
+
+@query(
+    _REPEATS
+    + """
+SELECT depart_airport, arrival_airport, strftime(dep, '%Y-%m-%d') AS depart_date, false AS is_layover, airline,
+  '일반석' AS seat_class, 'n' AS fare_class, day AS fetched_date,
+  CAST(sum(price + late + fee) // count(*) AS INTEGER) AS mean_price,
+  CAST(quantile_disc(price + late + fee, 0.5) AS INTEGER) AS median_price, count(*) AS ticket_count
+FROM flight, (VALUES ('2025-03-01', 0), ('2025-03-02', 100)) AS d(day, late), (VALUES (1), (2)) AS f(fee)
+WHERE late = 0 OR again GROUP BY ALL"""
+)
+def repeated_rollup(spark, sf_dir):
+    """Through the stored tables, day by day: the second day moves a third of the flights to groups of another
+    airline, with the fares of the first day, and brings fares without an agent, which go to the rejects."""
+    warehouse = Warehouse(work_dir(spark, "repeats"), slots=8)
+    raw = _repeats(spark, sf_dir)
+    for day in ("2025-03-01", "2025-03-02"):
+        documents = raw.where(F.col("file_path").contains(f"day={day}"))
+        runs.run_domestic(documents, airports(spark, sf_dir), warehouse)
+    return _plain(warehouse.daily.read(spark))
+
+
 _INTERNATIONAL = f"""
 WITH {LEG}, {ZONE}, placed AS (
   SELECT *, row_number() OVER trip - 1 AS n, count(*) OVER trip_all AS legs,

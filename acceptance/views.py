@@ -212,6 +212,53 @@ def domestic_feed(spark: SparkSession, sf_dir: str) -> str:
     return written(spark, sf_dir, "domestic", write)
 
 
+def repeat_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Domestic-shaped documents of two crawl days. The second one lists every third order's flight again,
+    under another airline name, with a later arrival and other prices, and a fare without an agent. Airports
+    are the nations of the customer and of another place, so both ends have zones or lack them."""
+
+    def write(path):
+        nation = table(spark, sf_dir, "nation")
+        goal = nation.select(F.col("n_nationkey").alias("goal_key"), F.col("n_name").alias("goal"))
+        orders = places(spark, sf_dir).withColumn("goal_key", (F.col("n_nationkey") + F.col("o_orderkey")) % 25).join(goal, "goal_key")
+        number = F.col("o_orderkey")
+        at = F.col("o_orderdate") + F.make_dt_interval(hours=F.lit(6), mins=(number % 600).cast("int"))
+        for day, late in (("2025-03-01", 0), ("2025-03-02", 1)):
+            minutes = (F.lit(60) + number % 240 + 30 * late).cast("int")
+            until = at + F.make_dt_interval(mins=minutes)
+
+            def fare(agent, fee, late=late):
+                return F.struct(
+                    F.lit(agent).cast("string").alias("agtCode"),
+                    cents("o_totalprice").cast("int").alias("adultFare"),
+                    F.lit(100 * late).alias("aTax"),
+                    (number % 7).cast("int").alias("aFuel"),
+                    F.lit(fee).alias("publishFee"),
+                )
+
+            agents = [fare("A1", 1), fare("A2", 2)] + [fare(None, 3)] * late
+            schedule = F.struct(
+                F.lit("AA").alias("airlineCode"),
+                F.concat(F.lit("Late " if late else ""), "o_orderpriority").alias("airlineName"),
+                F.concat(F.lit("F"), number).alias("fitName"),
+                F.col("n_name").alias("depCity"),
+                F.col("goal").alias("arrCity"),
+                F.date_format(at, "yyyyMMddHHmm").alias("departureDate"),
+                F.date_format(until, "yyyyMMddHHmm").alias("arrivalDate"),
+                F.lit("Y").alias("seatClass"),
+                F.concat_ws(":", F.lpad((minutes / 60).cast("int"), 2, "0"), F.lpad(minutes % 60, 2, "0")).alias("journeyTime"),
+                F.array(*agents).alias("fare"),
+            )
+            docs = orders.where(number % 3 == 0) if late else orders
+            docs = docs.select(
+                F.lit(day).alias("day"),
+                F.struct(F.struct(F.array(schedule).alias("departures")).alias("domesticFlights")).alias("data"),
+            )
+            as_json(docs, path, f"domestic-{late}", "day")
+
+    return written(spark, sf_dir, "repeats", write)
+
+
 def international_feed(spark: SparkSession, sf_dir: str) -> str:
     """International-shaped documents: one per order that has line items. Orders with status F go
     to a folder for cabin Y, the others to one for cabin C."""
