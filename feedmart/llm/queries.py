@@ -234,6 +234,43 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Lloyd's rounds, unrolled. Doubles hold the whole numbers exactly."""
+    assign = """
+a{k} AS MATERIALIZED (
+  SELECT vec_id, j, any_value(x) AS x, arg_min(e, d * 256 + e) AS e, min(d) AS d FROM (
+    SELECT vec_id, j, x, e, list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS d
+    FROM p JOIN b{k} USING (j)) GROUP BY vec_id, j)"""
+    update = """
+b{n} AS MATERIALIZED (
+  SELECT b{k}.j, b{k}.e, coalesce(m.c, b{k}.c) AS c FROM b{k} LEFT JOIN (
+    SELECT j, e, list(s ORDER BY i) AS c FROM (
+      SELECT j, e, i, floor(sum(x[i]) / count(*)) AS s
+      FROM (SELECT j, e, x, unnest(range(1, len(x) + 1)) AS i FROM a{k}) GROUP BY j, e, i) GROUP BY j, e
+  ) AS m ON m.j = b{k}.j AND m.e = b{k}.e)"""
+    steps = [(assign + "," + update).format(k=k, n=k + 1) for k in range(rounds)] + [assign.format(k=rounds)]
+    return f"""
+WITH k AS (
+  SELECT vec_id, label, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, j, v[CAST(j * len(v) // 4 + 1 AS INT) : CAST((j + 1) * len(v) // 4 AS INT)] AS x
+  FROM k, (SELECT unnest(range(4)) AS j)
+), b0 AS MATERIALIZED (
+  SELECT j, row_number() OVER (PARTITION BY j ORDER BY vec_id) - 1 AS e, x AS c
+  FROM p QUALIFY row_number() OVER (PARTITION BY j ORDER BY vec_id) <= 256
+), {",".join(steps)}, books AS (
+  SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY j, e, i)) AS digest
+  FROM (SELECT j, e, unnest(c) AS y, unnest(range(len(c))) AS i FROM b{rounds})
+), r AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY j) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM r JOIN k USING (vec_id), books
+"""
+
+
+@query(_codes_sql())
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
