@@ -31,18 +31,18 @@ def _plain(df):
     return df.drop("depart_local_ts", "arrival_local_ts")
 
 
-def _domestic(spark, sf_dir):
+def _domestic(spark, sf_dir, parsed=None):
     scanned = feeds.scan(
         spark, domestic_feed(spark, sf_dir), domestic.read_schema(), files="domestic-*.json"
     )
-    return domestic.tables(feeds.records(scanned), airports(spark, sf_dir))
+    return domestic.tables(feeds.records(scanned), airports(spark, sf_dir), parsed=parsed)
 
 
-def _international(spark, sf_dir):
+def _international(spark, sf_dir, parsed=None):
     scanned = feeds.scan(
         spark, international_feed(spark, sf_dir), international.read_schema(), files="trip-*.json"
     )
-    return international.tables(feeds.records(scanned), airports(spark, sf_dir))
+    return international.tables(feeds.records(scanned), airports(spark, sf_dir), parsed)
 
 
 _DOMESTIC = f"""
@@ -97,7 +97,7 @@ FROM flight JOIN fare USING (air_id) GROUP BY ALL"""
 
 @query(_DOMESTIC_ROLLUP)
 def domestic_rollup(spark, sf_dir):
-    tables = _domestic(spark, sf_dir)
+    tables = _domestic(spark, sf_dir, work_dir(spark, "schedules"))
     return _plain(daily_rollup(tables["flight_info"], tables["fare_info"]))
 
 
@@ -253,7 +253,7 @@ FROM flight JOIN fare USING (air_id) GROUP BY ALL"""
 
 @query(_INTERNATIONAL_ROLLUP)
 def international_rollup(spark, sf_dir):
-    tables = _international(spark, sf_dir)
+    tables = _international(spark, sf_dir, work_dir(spark, "results"))
     return _plain(daily_rollup(tables["flight_info"], tables["fare_info"]))
 
 

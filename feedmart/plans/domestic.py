@@ -10,6 +10,7 @@ from feedmart.functions import keys, labels, money, times
 from feedmart.operators.dedupe import by_version, newest, split_by_key
 from feedmart.operators.lookup import lookup
 from feedmart.operators.nested import elements
+from feedmart.session import written
 from feedmart.sources import feeds, schemas
 
 # The crawl day and the file decide which of several reports of a flight or a fare counts.
@@ -148,9 +149,13 @@ def rejected(rows: DataFrame, goes_to: str) -> DataFrame:
     return rows.select("file_path", F.lit(goes_to).alias("goes_to"), "lacks", record.alias("record"))
 
 
-def tables(raw: DataFrame, airports: DataFrame, direction: str = "departures") -> dict[str, DataFrame]:
-    """The output tables of one batch of documents."""
-    return tables_of(schedules(raw, direction), airports)
+def tables(
+    raw: DataFrame, airports: DataFrame, direction: str = "departures", parsed: str | None = None
+) -> dict[str, DataFrame]:
+    """The output tables of one batch of documents. ``parsed`` names a folder for the schedules, so that
+    the documents are parsed once for all tables."""
+    base = schedules(raw, direction)
+    return tables_of(written(base, parsed) if parsed else base, airports)
 
 
 def tables_of(base: DataFrame, airports: DataFrame) -> dict[str, DataFrame]:

@@ -11,6 +11,7 @@ from feedmart.operators import itinerary
 from feedmart.operators.dedupe import by_version, having_key, newest, split_by_key
 from feedmart.operators.nested import elements, entries, positioned
 from feedmart.plans.domestic import FARE_KEYS, NEWEST, rejected, with_utc
+from feedmart.session import written
 from feedmart.sources import feeds, schemas
 
 # What a fare cannot do without. Only its crawl day may be unknown.
@@ -163,10 +164,14 @@ def unkeyed(base: DataFrame, known_trips: DataFrame) -> DataFrame:
     return rejected(leg, "flight_info").unionByName(rejected(fare, "fare_info"))
 
 
-def tables(raw: DataFrame, airports: DataFrame) -> dict[str, DataFrame]:
-    """The output tables of one batch of documents."""
+def tables(raw: DataFrame, airports: DataFrame, parsed: str | None = None) -> dict[str, DataFrame]:
+    """The output tables of one batch of documents. ``parsed`` names a folder for documents and trips, so
+    that both are worked out once for all tables."""
     base = results(raw)
-    return tables_of(base, trips(base, airports))
+    if parsed:
+        base = written(base, f"{parsed}/results")
+    known = trips(base, airports)
+    return tables_of(base, written(known, f"{parsed}/trips") if parsed else known)
 
 
 def tables_of(base: DataFrame, known_trips: DataFrame) -> dict[str, DataFrame]:

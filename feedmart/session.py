@@ -42,6 +42,12 @@ def _until_the_end(spark: SparkSession, folder: str) -> None:
     store.deleteOnExit(path)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read from there: what follows from it does not compute it again."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def reused(df: DataFrame) -> Iterator[DataFrame]:
     """Keep ``df`` for the several outputs built from it, and let it go afterwards.
