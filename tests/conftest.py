@@ -15,6 +15,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "4")
+        .config("spark.sql.streaming.noDataProgressEventInterval", "200")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
