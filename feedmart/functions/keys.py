@@ -33,20 +33,6 @@ def path_date(path: Column | str) -> Column:
     return F.try_to_date(day, "yyyy-MM-dd")
 
 
-def natural(text: Column | str) -> Column:
-    """Text to order names by that hold numbers: ``file-9`` comes before ``file-10``."""
-    parts = F.regexp_extract_all(_col(text), F.lit(r"\d+|\D+"), F.lit(0))
-    # a number stands behind the count of its digits, without leading zeros
-    numbered = F.transform(
-        parts,
-        lambda p: F.when(
-            F.regexp_like(p, F.lit(r"^\d")),
-            F.concat(F.lpad(F.length(F.ltrim(p, F.lit("0"))).cast("string"), 3, "0"), F.ltrim(p, F.lit("0"))),
-        ).otherwise(p),
-    )
-    return F.array_join(numbered, "")
-
-
 def path_cabin(path: Column | str) -> Column:
     """The cabin code in a file name, else empty text."""
     return F.regexp_extract(_col(path), CABIN_IN_NAME, 1)

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmart.functions import keys as keys_of
-
 
 def newest(
     df: DataFrame,
@@ -37,8 +35,9 @@ def newest(
 
 
 def by_version(names: Sequence[str], paths: Sequence[str] = ("file_path",)) -> list[Column | str]:
-    """An order for ``newest``: the largest values first, file paths by the numbers in them."""
-    return [keys_of.natural(n).desc_nulls_last() if n in paths else n for n in names]
+    """An order for ``newest``: the largest values first. Of file paths the longer one counts as larger, so
+    that ``file-10`` follows ``file-9``; paths of one length go by their characters."""
+    return [c for n in names for c in ([F.length(n).desc_nulls_last(), n] if n in paths else [n])]
 
 
 def split_by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

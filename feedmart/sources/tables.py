@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from feedmart.functions.keys import natural
 from feedmart.operators.dedupe import by_version, newest
 from feedmart.operators.keyed import marked, same_key, without
 from feedmart.session import reused
@@ -135,7 +134,7 @@ class KeyedTable:
         both = left.join(right, same_key(self.keys), "full_outer")
         changed = F.col("__new").isNotNull()
         if self.version:
-            old, new = (F.struct(*[_version_part(side, v) for v in self.version]) for side in ("__before", "__new"))
+            old, new = (F.struct(*[c for v in self.version for c in _version_parts(side, v)]) for side in ("__before", "__new"))
             changed &= F.col("__before").isNull() | ~(old > new)
         return both.select(
             F.when(changed, F.col("__new")).otherwise(F.col("__before")).alias("__row"),
@@ -363,9 +362,10 @@ class Folder:
             return None
 
 
-def _version_part(row: str, name: str) -> Column:
+def _version_parts(row: str, name: str) -> list[Column]:
+    """In the order of ``by_version``."""
     value = F.col(row)[name]
-    return natural(value) if name == FILE_PATH else value
+    return [F.length(value), value] if name == FILE_PATH else [value]
 
 
 def _value_of(partition: str) -> str:

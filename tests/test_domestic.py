@@ -142,3 +142,12 @@ def test_repeated_and_missing_local_times(spark, tmp_path, rows):
         (dt.datetime(2025, 11, 2, 5, 30),),
         (dt.datetime(2025, 3, 9, 7, 30),),
     ]
+
+
+def test_documents_may_be_parsed_once_for_all_tables(spark, tmp_path, rows):
+    folder = fx.write(tmp_path, "2025-05-29", "domestic", "0_domestic.json", fx.domestic_doc(fx.schedule(), fx.schedule(number="SA2")))
+    plain = domestic.tables(raw(spark, folder), fx.airports(spark))
+    once = domestic.tables(raw(spark, folder), fx.airports(spark), parsed=str(tmp_path / "parsed"))
+    for name in plain:
+        assert rows(plain[name]) == rows(once[name])
+        assert "json" not in once[name]._jdf.queryExecution().executedPlan().toString().split("Scan ", 1)[1][:20]

@@ -143,3 +143,13 @@ def test_order_of_files_does_not_matter(spark, tmp_path, rows):
     two = international.tables(raw.repartition(3, "file_path"), fx.airports(spark))
     for name in one:
         assert rows(one[name]) == rows(two[name])
+
+
+def test_documents_may_be_parsed_once_for_all_tables(spark, tmp_path, rows):
+    doc = fx.international_doc([{"K1": DIRECT, "K1+K2+K3": THREE}], {"K1": fx.fares_of(fx.price())})
+    folder = fx.write(tmp_path, "2025-05-29", "international", "a_Y_0_international.json", doc)
+    raw = feeds.records(feeds.scan(spark, folder, international.read_schema()))
+    plain = international.tables(raw, fx.airports(spark))
+    once = international.tables(raw, fx.airports(spark), str(tmp_path / "parsed"))
+    for name in plain:
+        assert rows(plain[name]) == rows(once[name])
