@@ -100,7 +100,7 @@ def stream_upsert(spark, sf_dir):
     comes first."""
 
     def write(path):
-        as_json(_lines(spark, sf_dir).drop("l_linestatus"), path, "lines", "l_returnflag")
+        as_json(_lines(spark, sf_dir).drop("l_linestatus"), path, "lines", "l_returnflag", gzip=True)
 
     source = written(spark, sf_dir, "lines-feed", write)
     target = _table(spark, "streamed-lines", _LINE, _LINE_KEYS, tuple(_LINE_ORDER))
@@ -108,14 +108,15 @@ def stream_upsert(spark, sf_dir):
         spark,
         source,
         schemas.struct(_LINE),
-        files="lines-*.json",
+        files="lines-*.json.gz",
         max_files=4,
     )
     ingest.run_to_end(
         feeds.records(stream),
-        lambda batch, batch_id: target.upsert(batch),
+        target.hold,
         work_dir(spark, "stream-upsert-checkpoint"),
     )
+    target.settle_held(spark)
     return target.read(spark)
 
 

@@ -185,3 +185,21 @@ def test_append_batch_can_be_repeated(spark, tmp_path, rows):
     for batch_id in (0, 1, 1):
         append_batch(frame(spark, ("a", D1, batch_id, 0)), path, batch_id)
     assert rows(spark.read.parquet(path), "price", "batch_id") == [(0, 0), (1, 1)]
+
+
+def test_held_batches_equal_upserts_one_by_one(spark, tmp_path, rows, monkeypatch):
+    published = []
+    monkeypatch.setattr(tables, "reached", lambda at: published.append(at) if at == "marked" else None)
+    made = [
+        KeyedTable(str(tmp_path / name), StructType.fromDDL("k int,v int,w string"), ("k",), by_hash(["k"], 2), ("v",))
+        for name in ("held", "direct")
+    ]
+    batches = [[(k or None, (b * 7 + k) % 5, f"{b}") for k in range(5)] for b in range(9)]
+    for b, batch in enumerate(batches):
+        df = spark.createDataFrame(batch, "k int,v int,w string")
+        made[0].hold(df, b)
+    made[0].settle_held(spark)
+    assert len(published) < 9
+    for batch in batches:
+        made[1].upsert(spark.createDataFrame(batch, "k int,v int,w string"))
+    assert rows(made[0].read(spark)) == rows(made[1].read(spark))
