@@ -10,7 +10,8 @@ is indexed with its values and has to match exactly. Items of fewer than ``SHORT
 exactly as a whole, and those of fewer than ``ALONE`` only by a document that holds nothing else. A
 passage counts if it covers ``MIN_RUN`` tokens or its whole item, and is either exact or consistent.
 
-Items with one template throughout are a class. Its template windows are indexed once, under its smallest
+Items with one template throughout whose values repeat at the same places are a class: a document is
+consistent with all of them or with none. Its template windows are indexed once, under its smallest
 id, and ``item_classes`` tells the members: a template that many items and many documents share gives a
 row per document and not one per pair.
 
@@ -18,8 +19,9 @@ The corpus is never shuffled: a bitmap of the benchmark's window hashes (at most
 false hits do no harm) picks the windows that go into the join, and the join compares the whole
 template besides the hash. Equal benchmark texts are one item, named by its smallest id.
 
-Defined results: null and empty texts match nothing; repeated rows of an id are one document; null ids are
-one document without id; empty tables on either side give an empty result.
+Defined results: null and empty texts match nothing; repeated rows of an id are one document, and so are null
+ids, whose texts are matched one by one; likewise the texts of an item's id; empty tables on either side give
+an empty result.
 """
 
 from __future__ import annotations
@@ -143,6 +145,13 @@ def _window(raw: list[str], at: int, size: int, exact: bool) -> tuple[str, list[
     return " ".join(token for (token, _), _ in parts), [value for (_, slot), value in parts if slot]
 
 
+def _pattern(raw: list[str]) -> str:
+    """The template, with each slot's value numbered as it first occurs."""
+    numbers: dict[str, int] = {}
+    tokens = ((canonical(r), _value(r)) for r in raw)
+    return " ".join(f"{token} {numbers.setdefault(value, len(numbers))}" if slot else token for (token, slot), value in tokens)
+
+
 _SHAPE = "size int, exact boolean, at int, hash long, template string, slots array<string>"
 _KINDS = [pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
 _NAMES = ["size", "exact", "at", "hash", "template", "slots"]
@@ -158,7 +167,8 @@ def _batch(ids: list, rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Every window of rows (id, text): id, the columns of a window, plain, n_tokens, whole (the digest of the
-    item's template). A short item is one window. Windows with few plain words are exact."""
+    item's template and of the places where its values repeat). A short item is one window. Windows with few
+    plain words are exact."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, by_value = _Hashes(), _Hashes(exact=True)
@@ -176,7 +186,7 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
                         rows.append((size, False, at, h, template, slots))
                     else:
                         rows.append((size, True, at, exact_hashes[at], *_window(raw, at, size, True)))
-                whole = hashlib.sha256(" ".join(canonical(r)[0] for r in raw).encode("utf-8", "surrogatepass")).hexdigest()
+                whole = hashlib.sha256(_pattern(raw).encode("utf-8", "surrogatepass")).hexdigest()
                 out = _batch([key.as_py()] * len(rows), rows, batch.schema.field(0).type)
                 out = out.append_column("n_tokens", pa.array([len(raw)] * len(rows), pa.int32()))
                 yield out.append_column("whole", pa.array([whole] * len(rows), pa.string()))
@@ -186,7 +196,8 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def item_classes(windows: DataFrame) -> DataFrame:
-    """(id, class) of the items of ``item_windows``: items with one template, named by the smallest id."""
+    """(id, class) of the items of ``item_windows``: items with one template whose values repeat at the same
+    places, named by the smallest id."""
     named = windows.groupBy("whole").agg(F.min("id").alias("class"))
     return windows.select("id", "whole").distinct().join(named, "whole").select("id", "class")
 
@@ -216,7 +227,8 @@ def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def document_windows(docs: DataFrame, bits: np.ndarray, kinds: list[tuple[int, bool]]) -> DataFrame:
-    """The windows of rows (id, text) that the bitmap may know. ``kinds`` are sizes, and whether by value."""
+    """The windows of rows (id, text) that the bitmap may know, with the text's hash beside its id. ``kinds`` are
+    sizes, and whether by value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, by_value = _Hashes(), _Hashes(exact=True)
@@ -232,10 +244,12 @@ def document_windows(docs: DataFrame, bits: np.ndarray, kinds: list[tuple[int, b
                         (size, exact, int(at), found[at], *_window(raw, at, size, exact)) for at in np.flatnonzero(_known(bits, found))
                     ]
                 if rows:
-                    yield _batch([key.as_py()] * len(rows), rows, batch.schema.field(0).type)
+                    whole = {"id": key.as_py(), "text": xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1}
+                    kind = pa.struct([("id", batch.schema.field(0).type), ("text", pa.int64())])
+                    yield _batch([whole] * len(rows), rows, kind)
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, {_SHAPE}")
+    return docs.select("id", "text").mapInArrow(run, f"id struct<id:{kind},text:bigint>, {_SHAPE}")
 
 
 def _hits(windows: DataFrame, known: DataFrame) -> DataFrame:
@@ -324,6 +338,8 @@ def contaminated(
     how many of the item's values were changed (0 for a plain copy). An item that was found by its template
     alone stands for its class."""
     items = benchmark.groupBy(F.col(item_text_col).alias("text")).agg(F.min(item_id_col).alias("id"))
+    # an id may be null, or name several texts: a text is told apart by both
+    items = items.select(F.struct("id", F.md5("text").alias("text")).alias("id"), "text")
     every = landed(item_windows(items), "item-windows")
     known = landed(every.drop("whole").join(item_classes(every), "id"), "benchmark-windows")
     indexed = known.filter(F.col("exact") | (F.col("id") == F.col("class")))
@@ -338,7 +354,7 @@ def contaminated(
         found = found.unionByName(exact_passages(own, template, known))
     best = F.max_by(F.struct("tokens", "start", "changed", "n_tokens"), F.struct("tokens", -F.col("changed"), -F.col("start"))).alias("best")
     return (
-        found.groupBy("id", "item")
+        found.groupBy(F.col("id.id").alias("id"), F.col("item.id").alias("item"))
         .agg(best, F.count_distinct("start").alias("n_passages"))
         .select(
             F.col("id").alias(id_col),

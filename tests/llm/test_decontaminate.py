@@ -138,3 +138,26 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert D.contaminated(docs.limit(0), bench).count() == 0
     assert D.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_items_whose_values_repeat_elsewhere_are_classes_of_their_own(spark):
+    def item(*numbers):
+        return "A farmer called Otto sells {} apples to each of the {} people who come by in the morning".format(*numbers)
+
+    # against item 0 alone, whose numbers are equal, item 1 and what follows its template looked inconsistent
+    got = found(spark, [item(7, 9), item(8, 8).replace("Otto", "Anna"), item(30, 40)], [item(7, 7), item(7, 9), item(5, 5), item(20, 21)])
+    assert {(0, 1), (1, 0), (2, 1)} <= set(got) and got[0, 1]["n_changed"] == 0
+    assert {i for _, i in got} == {0, 1}
+
+
+def test_texts_of_one_id_are_matched_one_by_one(spark):
+    ship(spark)
+    one, other = ITEM, "The long river runs past the old mill and the green hill before it meets the wide grey sea"
+    changed = [ITEM.replace("Alice", a).replace("Tom", b).replace("12", c) for a, b, c in (("Bertha", "Ivan", "40"), ("Clara", "Hugo", "50"))]
+    docs = spark.createDataFrame([(1, changed[0]), (1, changed[1]), (None, other), (2, one)], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, one), (5, other)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench).collect()}
+    assert got == {(1, 5), (None, 5), (2, 5)}
+    nameless = spark.createDataFrame([(None, one), (None, other)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, nameless).collect()}
+    assert got == {(1, None), (None, None), (2, None)}
