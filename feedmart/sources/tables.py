@@ -120,8 +120,7 @@ class KeyedTable:
         An upsert of keys from everywhere rewrites the whole table, so one per micro-batch would write the
         square of what comes in; this way it is a multiple. A batch that is run again replaces what it held.
         Call ``settle_held`` at the end."""
-        rows = newest(updates.select(*self.schema.names), self.keys, by_version(self.version))
-        rows.write.mode("overwrite").parquet(f"{self._held}/{HELD}={batch_id}")
+        updates.select(*self.schema.names).write.mode("overwrite").parquet(f"{self._held}/{HELD}={batch_id}")
         self.settle_held(updates.sparkSession, OUTGROWN)
 
     def settle_held(self, spark: SparkSession, outgrown: float = 0) -> None:
