@@ -53,134 +53,165 @@ def windows(texts: list[np.ndarray], n_lanes: int, steps: int) -> Iterator[tuple
     (input, class, member) per step; keep is 0 where a text begins. Lanes that ended drop out; in the block
     in which a lane ends, the rest of it belongs to no text: its number is that of the texts."""
     dealt = lanes([len(t) for t in texts], n_lanes)
-    streams = [np.concatenate([texts[i] for i in lane]) for lane in dealt]
-    owners = [np.repeat(np.array(lane), [len(texts[i]) for i in lane]) for lane in dealt]
-    begins = []
-    for lane in dealt:
-        keep = np.ones(sum(len(texts[i]) for i in lane), F32)
-        keep[np.cumsum([0, *(len(texts[i]) for i in lane[:-1])])] = 0
-        begins.append(keep)
-    sizes = np.array([len(s) for s in streams])
-    for at in range(0, int(sizes.max(initial=0)), steps):
+    if not dealt:
+        return
+    in_order = [i for lane in dealt for i in lane]
+    lengths = np.array([len(texts[i]) for i in in_order])
+    stream = np.concatenate([texts[i] for i in in_order])
+    owners = np.repeat(in_order, lengths)
+    keeps = np.ones(len(stream), F32)
+    keeps[np.cumsum(lengths) - lengths] = 0
+    sizes = np.array([sum(len(texts[i]) for i in lane) for lane in dealt])
+    firsts = np.cumsum(sizes) - sizes
+    for at in range(0, int(sizes[0]), steps):  # the first lane is the longest
         active = int((sizes > at).sum())
-        tokens = np.zeros((steps, active, texts[0].shape[1]), texts[0].dtype)
-        owner, keep = np.full((steps, active), len(texts)), np.zeros((steps, active), F32)
-        for k in range(active):
-            n = min(steps, int(sizes[k]) - at)
-            tokens[:n, k], owner[:n, k], keep[:n, k] = (x[k][at : at + n] for x in (streams, owners, begins))
-        used = min(steps, int(sizes[0]) - at)  # the first lane is the longest
-        yield tokens[:used], owner[:used], keep[:used]
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.clip(x, -30, 30, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+        step = np.arange(at, min(at + steps, int(sizes[0])))[:, None]
+        there = step < sizes[:active]
+        place = np.where(there, firsts[:active] + step, 0)
+        yield stream[place] * there[..., None], np.where(there, owners[place], len(texts)), keeps[place] * there
+
+
+# Blocks of states and of gates lie as (units, steps, lanes), so that a step works on long rows and a sum over
+# classes adds whole rows.
+
+
+def run(p: Params, table: np.ndarray, inputs: np.ndarray, keep: np.ndarray, h: np.ndarray, trace: dict | None = None) -> np.ndarray:
+    """States (units, steps, lanes) after each step, from the state (units, lanes) before; ``trace`` gets what
+    the way back needs. ``table`` holds the gates' input of every input row."""
+    width, n_steps, n = len(h), *inputs.shape
+    into = table[inputs].transpose(2, 0, 1)
+    back = np.ascontiguousarray(p["U"].T)
+    out = np.empty((width, n_steps, n), into.dtype)
+    if trace is not None:
+        trace |= {k: np.empty((rows * width, n_steps, n), into.dtype) for k, rows in (("before", 1), ("zr", 2), ("new", 1), ("gn", 1))}
+    for t in range(n_steps):
+        h = h * keep[t]
+        a, g = into[:, t], back @ h
+        zr = g[: 2 * width]
+        zr += a[: 2 * width]
+        np.negative(zr, out=zr)
+        with np.errstate(over="ignore"):  # the reciprocal of infinity is the 0 that is meant
+            np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        new = zr[width:] * g[2 * width :]
+        new += a[2 * width :]
+        np.tanh(new, out=new)
+        if trace is not None:
+            trace["before"][:, t], trace["zr"][:, t], trace["new"][:, t], trace["gn"][:, t] = h, zr, new, g[2 * width :]
+        h -= new
+        h *= zr[:width]
+        h += new
+        out[:, t] = h
+    return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=-1, keepdims=True)
+def _log_softmax(x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of the rows ``own``, one per column; ``x`` becomes the probabilities before they are
+    divided by their sums, which are returned too."""
+    x -= x.max(axis=0)
+    out = x[own, np.arange(x.shape[1])]
     np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
-
-
-def run(p: Params, table: np.ndarray, inputs: np.ndarray, keep: np.ndarray, h: np.ndarray, trace: list | None = None) -> np.ndarray:
-    """States after each step, from the state before; ``trace`` gets what the way back needs."""
-    width = h.shape[1]
-    out = np.empty((*inputs.shape, width), F32)
-    for t in range(len(inputs)):
-        h = h * keep[t][:, None]
-        a, g = table[inputs[t]], h @ p["U"]
-        zr = _sigmoid(a[:, : 2 * width] + g[:, : 2 * width])
-        z, r = zr[:, :width], zr[:, width:]
-        n = np.tanh(a[:, 2 * width :] + r * g[:, 2 * width :])
-        if trace is not None:
-            trace.append((h, z, r, n, g[:, 2 * width :]))
-        h = n + z * (h - n)
-        out[t] = h
-    return out
+    total = x.sum(axis=0)
+    return out - np.log(total), total
+
+
+class _Heads:
+    """The columns of head words, class by class, with the logits of the words of their class."""
+
+    def __init__(self, p: Params, h: np.ndarray, classes: np.ndarray, members: np.ndarray):
+        at = np.flatnonzero(members >= 0)
+        self.at = at[np.argsort(classes[at].astype(np.uint16), kind="stable")]
+        self.members, self.h = members[self.at], h.take(self.at, axis=1)
+        ends = np.cumsum(np.bincount(classes[self.at], minlength=1)).tolist()
+        self.parts = [(k, slice(a, b)) for k, (a, b) in enumerate(zip([0, *ends], ends)) if b > a]
+        self.x = np.empty((p["M"].shape[1], len(self.at)), h.dtype)
+        for k, part in self.parts:
+            np.add(p["M"][k] @ self.h[:, part], p["m"][k][:, None], out=self.x[:, part])
 
 
 def log_probs(p: Params, h: np.ndarray, classes: np.ndarray, members: np.ndarray) -> np.ndarray:
-    """Natural log of the class's probability, times that of the word in head classes. Flat inputs."""
-    x = h @ p["C"] + p["c"]
-    top = x.max(axis=1)
-    out = x[np.arange(len(x)), classes] - top
-    x -= top[:, None]
-    out -= np.log(np.exp(x, out=x).sum(axis=1))
-    for k, rows in _by_class(classes, members):
-        y = h[rows] @ p["M"][k].T + p["m"][k]
-        top = y.max(axis=1)
-        own = y[np.arange(len(y)), members[rows]] - top
-        y -= top[:, None]
-        out[rows] += own - np.log(np.exp(y, out=y).sum(axis=1))
-    return out
+    """Natural log of the class's probability, times that of the word in head classes. ``h`` has a row per token."""
+    return _log_probs(p, h.T, classes, members)
 
 
-def _by_class(classes: np.ndarray, members: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Rows of head words, class by class."""
-    rows = np.flatnonzero(members >= 0)
-    rows = rows[np.argsort(classes[rows], kind="stable")]
-    if len(rows):
-        cuts = np.flatnonzero(np.diff(classes[rows])) + 1
-        for part in np.split(rows, cuts):
-            yield int(classes[part[0]]), part
+def _log_probs(p: Params, h: np.ndarray, classes: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """The same with a column per token."""
+    x = p["C"].T @ h
+    x += p["c"][:, None]
+    out, _ = _log_softmax(x, classes)
+    heads = _Heads(p, h, classes, members)
+    out[heads.at] += _log_softmax(heads.x, heads.members)[0]
+    return out
 
 
 def scores(p: Params, texts: list[np.ndarray], n_lanes: int = 256, steps: int = 32) -> np.ndarray:
     """Natural log probability of every text."""
     table = p["E"] @ p["W"] + p["b"]
     total = np.zeros(len(texts))
-    h = np.zeros((n_lanes, p["U"].shape[0]), F32)
+    h = np.zeros((p["U"].shape[0], n_lanes), F32)
     for tokens, owner, keep in windows(texts, n_lanes, steps):
-        states = run(p, table, tokens[..., 0], keep, h[: tokens.shape[1]])
-        h = states[-1]
-        flat = log_probs(p, states.reshape(-1, states.shape[2]), tokens[..., 1].ravel(), tokens[..., 2].ravel())
+        states = run(p, table, tokens[..., 0], keep, h[:, : tokens.shape[1]])
+        h = states[:, -1]
+        flat = _log_probs(p, states.reshape(len(h), -1), tokens[..., 1].ravel(), tokens[..., 2].ravel())
         total += np.bincount(owner.ravel(), flat, minlength=len(texts) + 1)[: len(texts)]
     return total
 
 
 def gradient(p: Params, tokens: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple[float, Params, np.ndarray]:
-    """(loss, gradient, state after) of one window; gradients end at the window's first step."""
-    width, n = h.shape[1], tokens.shape[0] * tokens.shape[1]
-    used, place = np.unique(tokens[..., 0].ravel(), return_inverse=True)  # other rows have no gradient
-    rows_in, trace = p["E"][used], []
-    states = run(p, rows_in @ p["W"] + p["b"], place.reshape(tokens.shape[:2]), keep, h, trace)
-    flat, classes, members = states.reshape(n, width), tokens[..., 1].ravel(), tokens[..., 2].ravel()
-    g = {k: np.zeros_like(v) for k, v in p.items()}
-    prob = _softmax(flat @ p["C"] + p["c"])
-    loss = -float(np.log(prob[np.arange(n), classes] + 1e-30).sum())
-    prob[np.arange(n), classes] -= 1
-    g["C"], g["c"] = flat.T @ prob, prob.sum(axis=0)
-    back = prob @ p["C"].T
-    for k, rows in _by_class(classes, members):
-        q = _softmax(flat[rows] @ p["M"][k].T + p["m"][k])
-        own = (np.arange(len(rows)), members[rows])
-        loss -= float(np.log(q[own] + 1e-30).sum())
-        q[own] -= 1
-        g["M"][k], g["m"][k] = q.T @ flat[rows], q.sum(axis=0)
-        back[rows] += q @ p["M"][k]
+    """(loss, gradient, state after) of one window; gradients end at the window's first step. States of the
+    window's two ends have a row per lane."""
+    width, n_steps, n = h.shape[1], *tokens.shape[:2]
+    inputs, classes, members = (np.ascontiguousarray(tokens[..., k]) for k in range(3))
+    classes, members, trace = classes.ravel(), members.ravel(), {}
+    states = run(p, p["E"] @ p["W"] + p["b"], inputs, keep, np.ascontiguousarray(h.T), trace)
+    flat, inputs, every = states.reshape(width, -1), inputs.ravel(), np.arange(n_steps * n)
+    g = {k: np.zeros_like(p[k]) for k in ("M", "m")}
+    x = p["C"].T @ flat
+    x += p["c"][:, None]
+    logs, sums = _log_softmax(x, classes)
+    loss = -float(logs.sum())
+    x /= sums
+    x[classes, every] -= 1
+    g["C"], g["c"] = flat @ x.T, x.sum(axis=1)
+    back = p["C"] @ x
+    heads = _Heads(p, flat, classes, members)
+    if len(heads.at):
+        q = heads.x
+        logs, sums = _log_softmax(q, heads.members)
+        loss -= float(logs.sum())
+        q /= sums
+        q[heads.members, every[: len(heads.at)]] -= 1
+        down = np.empty_like(heads.h)
+        for k, part in heads.parts:
+            g["M"][k], g["m"][k] = q[:, part] @ heads.h[:, part].T, q[:, part].sum(axis=1)
+            down[:, part] = p["M"][k].T @ q[:, part]
+        back[:, heads.at] += down
     back = back.reshape(states.shape)
-    steps_g, later = np.empty((*tokens.shape[:2], 3 * width), F32), np.zeros_like(h)
-    for t in range(len(tokens) - 1, -1, -1):
-        before, z, r, new, gn = trace[t]
-        d = back[t] + later
-        dn = d * (1 - z) * (1 - new * new)
-        dz = d * (before - new) * z * (1 - z)
-        dr = dn * gn * r * (1 - r)
-        dg = np.concatenate([dz, dr, dn * r], axis=1)
-        steps_g[t, :, : 2 * width], steps_g[t, :, 2 * width :] = dg[:, : 2 * width], dn
-        g["U"] += before.T @ dg
-        later = (d * z + dg @ p["U"].T) * keep[t][:, None]
-    order = np.argsort(place, kind="stable")
-    begins = np.flatnonzero(np.diff(place[order], prepend=-1))
-    table_g = np.add.reduceat(steps_g.reshape(n, -1)[order], begins, axis=0)
-    g["E"][used] = table_g @ p["W"].T
-    g["W"], g["b"] = rows_in.T @ table_g, table_g.sum(axis=0)
-    return loss, g, states[-1]
+    before, z, r, new = trace["before"], trace["zr"][:width], trace["zr"][width:], trace["new"]
+    # what a step's gradient is multiplied by, for all steps at once
+    by_new = (1 - z) * (1 - new * new)
+    by_z = (before - new) * z * (1 - z)
+    by_r = trace["gn"] * r * (1 - r)
+    gates, to_new = np.empty((3 * width, n_steps, n), flat.dtype), np.empty_like(states)
+    later, here = np.zeros((width, n), flat.dtype), np.empty((3 * width, n), flat.dtype)
+    for t in range(n_steps - 1, -1, -1):
+        later += back[:, t]
+        dn = later * by_new[:, t]
+        np.multiply(later, by_z[:, t], out=here[:width])
+        np.multiply(dn, by_r[:, t], out=here[width : 2 * width])
+        np.multiply(dn, r[:, t], out=here[2 * width :])
+        gates[:, t], to_new[:, t] = here, dn
+        later *= z[:, t]
+        later += p["U"] @ here
+        later *= keep[t]
+    gates, before = gates.reshape(3 * width, -1), before.reshape(width, -1)
+    g["U"] = before @ gates.T
+    gates[2 * width :] = to_new.reshape(width, -1)  # from here on the gates' input, which r does not scale
+    g["W"], g["b"] = p["E"][inputs].T @ gates.T, gates.sum(axis=1)
+    to_inputs = p["W"] @ gates
+    g["E"] = np.stack([np.bincount(inputs, row, minlength=len(p["E"])) for row in to_inputs], axis=1).astype(flat.dtype)
+    return loss, {k: g[k] for k in p}, states[:, -1].T
 
 
 def even_windows(texts: list[np.ndarray], n_lanes: int, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
@@ -223,7 +254,7 @@ class Trainer:
             _, g, h = gradient(self.p, tokens, keep, h)
             self.step += 1
             self.seen += n
-            norm = np.sqrt(sum(float((x * x).sum()) for x in g.values())) / n
+            norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values())) / n
             scale = F32(min(1.0, 1.0 / max(norm, 1e-9)) / n)
             fix = F32(np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step))
             for k, x in g.items():

@@ -10,8 +10,10 @@
   shards of about ``SHARD_TOKENS`` tokens by a hash of the id and ordered within, so the weights follow
   from the texts and not from how they are stored. In each of ``ROUNDS`` rounds all shards start from the
   same weights and optimiser state, and what they end with is averaged by tokens seen, a few at a time.
-* Scoring: whole texts, the state carried from window to window. The ``KNOWN`` most frequent words are
-  looked up in a broadcast table of bounded size; the rest are joined with the counts by word.
+* Texts become numbers once, in files: the ``KNOWN`` most frequent words are looked up in a broadcast table of
+  bounded size, the rest become the numbers of their endings and are joined with the counts by word. Classes,
+  training and scores read the numbers.
+* Scoring: whole texts, the state carried from window to window.
 
 Defined results: null and empty texts are one end token; repeated rows are scored on their own and
 alike; rows without an id are held out, never learnt from; with no training texts, or no texts at all,
@@ -20,6 +22,7 @@ counts are zero and the network keeps its first weights.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import zlib
@@ -48,19 +51,22 @@ LANES, STEPS, RATE = 256, 32, 0.02
 FAN_IN = 16
 #: The word no text can hold: it ends every text.
 END = b"\n"
-#: Bytes of text a worker trains on at a time, and counts or scores at a time. Lanes are long then: a text
-#: of many words holds up the others less.
-PIECE, SCORED = 4 << 20, 16 << 20
+#: Tokens a worker trains on at a time, and scores at a time; bytes of text it counts or numbers at a time. Lanes
+#: are long then: a text of many words holds up the others less.
+PIECE, SCORED, READ = 3 << 18, 3 << 20, 16 << 20
+#: Texts whose words are counted in one block.
+BLOCK = 64
 _EDGE = b".,;:!?%$&#*|\"')("
 
 
+@functools.lru_cache(maxsize=1 << 16)
 def ending(word: bytes) -> int:
     """The ending of a word: its last three bytes, and whether punctuation follows."""
     bare = word.rstrip(_EDGE)
     return zlib.crc32(bare[-3:] + (b"." if len(bare) < len(word) else b"")) % ENDINGS
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int = PIECE) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Batches cut so that their texts come to about ``most`` bytes."""
     for batch in batches:
         at, size, held = 0, 0, []
@@ -76,7 +82,7 @@ def counted(train: DataFrame) -> DataFrame:
     """(word, c) over all rows (text), the end token with them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in pieces(batches, 0, SCORED):
+        for _, held in pieces(batches, 0, READ):
             c = Counter({END: len(held)})
             for text in held:
                 c.update(lower_words_of(text))
@@ -86,21 +92,41 @@ def counted(train: DataFrame) -> DataFrame:
 
 
 @dataclass
-class Vocabulary:
-    """Numbers of the known words, and what the network needs to know about classes."""
+class Known:
+    """The words with numbers, by falling count. A word without a number goes by its ending ``e``, as -1 - e: so
+    arrays that hold the known words and then the endings backwards are looked up by either."""
 
-    words: dict[bytes, int]  # known words by falling count
+    words: dict[bytes, int]
     count: np.ndarray
     total: int  # N
     distinct: int  # V
-    input: np.ndarray
-    cls: np.ndarray
-    member: np.ndarray
-    ending_class: np.ndarray
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        out = np.fromiter(map(self.words.get, words, itertools.repeat(-1)), np.int32, len(words))
+        for k in np.flatnonzero(out < 0).tolist():
+            out[k] = -1 - ending(words[k])
+        return out
+
+    def by_number(self, of_known: np.ndarray, of_ending: np.ndarray) -> np.ndarray:
+        return np.concatenate([of_known, of_ending[::-1]])
+
+
+@dataclass
+class Vocabulary:
+    """What the network needs to know about the known words and the endings."""
+
+    known: Known
+    tokens: np.ndarray  # (input, class, member) by number
+    rest: np.ndarray  # log10 of a tail word's share of its class by number, without counts of unknown words
+    end: np.ndarray  # (input, class, member) of the end
+    member_count: np.ndarray  # training tokens of each head word by class and member
     tail_n: np.ndarray  # tokens of each tail class in training
-    tail_v: np.ndarray  # distinct words of each tail class
     heads: int
 
+    @property
+    def total(self) -> int:
+        return self.known.total
+
     @property
     def head_classes(self) -> int:
         return -(-self.heads // MEMBERS)
@@ -111,26 +137,28 @@ class Vocabulary:
         return self.heads + ENDINGS
 
 
-def _together(train: DataFrame, heads: dict[bytes, int]) -> np.ndarray:
-    """How often each head word and each ending shares a text with each anchor, the first head words. In whole
-    numbers, so that the sums are the same in any order."""
-    rows, anchors = len(heads) + ENDINGS, min(ANCHORS, len(heads))
+def _together(train: DataFrame, place: np.ndarray, heads: int) -> np.ndarray:
+    """How often each head word and each ending shares a text with each anchor, the first head words. ``place``
+    tells the row of a number. In whole numbers, so that the sums are the same in any order."""
+    rows, anchors = heads + ENDINGS, min(ANCHORS, heads)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((rows, anchors), np.int64)
         for batch in batches:
-            for text in texts(batch.column(0)):
-                c = Counter(heads[w] if w in heads else len(heads) + ending(w) for w in lower_words_of(text))
-                if c:
-                    at, n = np.array(list(c)), np.array(list(c.values()))
-                    near = np.zeros(anchors, np.int64)
-                    near[at[at < anchors]] = (n[at < anchors] << 16) // n.sum()
-                    sums[at] += n[:, None] * near
+            texts_of = [place[t] for t in _arrays(batch.column(0))]
+            for at in range(0, len(texts_of), BLOCK):
+                block = texts_of[at : at + BLOCK]
+                n = np.array([len(t) for t in block])
+                cells = np.concatenate(block) + np.repeat(np.arange(len(block)) * rows, n)
+                c = np.bincount(cells, minlength=len(block) * rows).reshape(-1, rows)
+                near = (c[:, :anchors] << 16) // np.maximum(n, 1)[:, None]
+                # exact: sums of whole numbers below 2 ** 53
+                sums += (c.T.astype(float) @ near.astype(float)).astype(np.int64)
         k = np.flatnonzero(sums.any(axis=1))
         yield pa.RecordBatch.from_pydict({"k": pa.array(k, pa.int64()), "v": pa.array(list(sums[k]), pa.list_(pa.int64()))})
 
     summed = (
-        train.select("text")
+        train.select("tokens")
         .mapInArrow(run, "k long, v array<long>")
         .select("k", F.posexplode("v").alias("j", "x"))
         .groupBy("k", "j")
@@ -174,7 +202,7 @@ def _frequent(counts: DataFrame) -> DataFrame:
     return counts.filter(grade >= lowest)
 
 
-def vocabulary(counts: DataFrame, train: DataFrame) -> Vocabulary:
+def known_words(counts: DataFrame) -> Known:
     n, v = counts.agg(F.sum("c"), F.count("*")).first()
     usual = counts.filter(F.octet_length("word") <= KNOWN_BYTES)
     top = _frequent(usual).orderBy(F.desc("c"), "word").limit(KNOWN).collect()  # so many words of so many bytes
@@ -182,25 +210,28 @@ def vocabulary(counts: DataFrame, train: DataFrame) -> Vocabulary:
     if END not in words:  # more than KNOWN words are more frequent
         words[END] = len(words)
         count = np.append(count, float(counts.filter(F.col("word") == F.lit(END)).agg(F.sum("c")).first()[0] or 0))
+    return Known(words, count, int(n or 0), int(v or 0))
+
+
+def vocabulary(counts: DataFrame, train: DataFrame, known: Known | None = None) -> Vocabulary:
+    """``train`` has the numbers of the texts (id, tokens), or the texts themselves."""
+    known = known or known_words(counts)
+    words, count = known.words, known.count
     order = [END, *(w for w in words if w != END)][:HEADS]
     heads = {w: k for k, w in enumerate(order)}
-    near = _together(train, heads)
+    endings = np.fromiter(map(ending, words), np.int64, len(words))
+    place = np.fromiter((heads.get(w, -1) for w in words), np.int64, len(words))
+    is_head = place >= 0
+    near = _together(
+        _numbered(train, known), known.by_number(np.where(is_head, place, len(heads) + endings), len(heads) + np.arange(ENDINGS)), len(heads)
+    )
     head_n = np.array([count[words[w]] for w in order]) + 0.1
     # head words that go together fill a class of MEMBERS; endings that go together are a tail class
     by_cluster = np.lexsort((-head_n, _clusters(near[: len(heads)] + 1e-6, head_n, 16)))
-    place = np.empty(len(heads), int)
-    place[by_cluster] = np.arange(len(heads))
+    input_of = np.empty(len(heads), int)
+    input_of[by_cluster] = np.arange(len(heads))
     tails = _clusters(near[len(heads) :] + 1e-6, near[len(heads) :].sum(axis=1) + 0.1, TAILS)
     head_classes = -(-len(heads) // MEMBERS)
-    vocab = Vocabulary(words, count, int(n or 0), int(v or 0), *(np.zeros(len(words), np.int32) for _ in range(3)),
-                       head_classes + tails, np.zeros(TAILS), np.zeros(TAILS), len(heads))
-    for w, k in words.items():
-        h = heads.get(w)
-        if h is None:
-            e = ending(w)
-            vocab.input[k], vocab.cls[k], vocab.member[k] = vocab.heads + e, vocab.ending_class[e], -1
-        else:
-            vocab.input[k], vocab.cls[k], vocab.member[k] = place[h], place[h] // MEMBERS, place[h] % MEMBERS
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = np.zeros((2, TAILS), np.int64)
@@ -210,32 +241,83 @@ def vocabulary(counts: DataFrame, train: DataFrame) -> Vocabulary:
                     got[:, tails[ending(w)]] += (c, 1)
         yield pa.RecordBatch.from_pydict({"k": list(range(TAILS)), "n": got[0], "v": got[1]})
 
+    tail_n, tail_v = np.zeros(TAILS), np.zeros(TAILS)
     for r in counts.select("word", "c").mapInArrow(sums, "k long, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        vocab.tail_n[r["k"]], vocab.tail_v[r["k"]] = r["n"], r["v"]
-    return vocab
+        tail_n[r["k"]], tail_v[r["k"]] = r["n"], r["v"]
+    own = input_of[np.where(is_head, place, 0)]
+    of_ending = np.stack([len(heads) + np.arange(ENDINGS), head_classes + tails, np.full(ENDINGS, -1)], axis=1)
+    of_known = np.where(is_head[:, None], np.stack([own, own // MEMBERS, own % MEMBERS], axis=1), of_ending[endings])
+    members = np.zeros((head_classes, MEMBERS))
+    members[own[is_head] // MEMBERS, own[is_head] % MEMBERS] = count[is_head] + 0.1
+    below = np.log10(tail_n + 0.1 * (tail_v + 1))[tails]
+    rest = np.where(is_head, 0, np.log10(count + 0.1) - below[endings])
+    return Vocabulary(known, known.by_number(of_known, of_ending).astype(np.int32), known.by_number(rest, -below),
+                      of_known[words[END]].astype(np.int32), members, tail_n, len(heads))
 
 
 def first_weights(vocab: Vocabulary) -> gru.Params:
-    members = np.zeros((vocab.head_classes, MEMBERS))
-    own = vocab.member >= 0
-    members[vocab.cls[own], vocab.member[own]] = vocab.count[own] + 0.1
-    class_n = np.concatenate([members.sum(axis=1), vocab.tail_n])
-    return gru.start(vocab.heads + ENDINGS + 1, WIDTH, len(class_n), vocab.head_classes, MEMBERS, class_n, members)
-
-
-def encoded(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(known numbers or -1, rows of (input before, class, member)) of a text and its end."""
-    known = np.fromiter(map(vocab.words.get, words, itertools.repeat(-1)), np.int64, len(words))
-    rows = np.empty((len(words) + 1, 3), np.int32)
-    inputs, cls, member = vocab.input[known], vocab.cls[known], vocab.member[known]
-    for k in np.flatnonzero(known < 0):
-        e = ending(words[k])
-        inputs[k], cls[k], member[k] = vocab.heads + e, vocab.ending_class[e], -1
-    end = vocab.words[END]
-    rows[0, 0], rows[1:, 0] = vocab.begin, inputs
-    rows[:-1, 1], rows[-1, 1] = cls, vocab.cls[end]
-    rows[:-1, 2], rows[-1, 2] = member, vocab.member[end]
-    return known, rows
+    class_n = np.concatenate([vocab.member_count.sum(axis=1), vocab.tail_n])
+    return gru.start(vocab.heads + ENDINGS + 1, WIDTH, len(class_n), vocab.head_classes, MEMBERS, class_n, vocab.member_count)
+
+
+def encoded(tokens: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+    """Rows of (input before, class, member) of a text's numbers and its end."""
+    rows, found = np.empty((len(tokens) + 1, 3), np.int32), vocab.tokens[tokens]
+    rows[0, 0], rows[1:, 0] = vocab.begin, found[:, 0]
+    rows[:-1, 1:], rows[-1, 1:] = found[:, 1:], vocab.end[1:]
+    return rows
+
+
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(b, np.int32) for b in column.to_pylist()]
+
+
+def _numbered(docs: DataFrame, known: Known) -> DataFrame:
+    """Per row (id, learn, text) its numbers, what follows from counts of known words, and the unknown words. Rows
+    that have numbers already are left as they are."""
+    if "tokens" in docs.columns:
+        return docs
+    held = docs.sparkSession.sparkContext.broadcast(known)
+    rows = docs.select("id", F.col("learn") if "learn" in docs.columns else F.lit(True).alias("learn"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value
+        base_below = math.log10(known.total + 0.1 * (known.distinct + 1))
+        none = np.zeros(ENDINGS)
+        logs, seen = known.by_number(np.log10(known.count + 0.1), none), known.by_number(known.count > 0, none).astype(np.int64)
+        end, uid = known.words[END], TaskContext.get().partitionId() << 40
+        for batch, held_texts in pieces(batches, 2, READ):
+            out = {k: [] for k in ("tokens", "n", "known", "base", "words", "times")}
+            for text in held_texts:
+                words = lower_words_of(text)
+                tokens = known.numbers(words)
+                unknown = Counter(words[k] for k in np.flatnonzero(tokens < 0).tolist())
+                out["tokens"].append(tokens.tobytes())
+                out["n"].append(len(words) + 1)
+                out["known"].append(int(seen[tokens].sum() + seen[end]))
+                out["base"].append(float(logs[tokens].sum() + logs[end]) - base_below * (len(words) + 1))
+                out["words"].append(list(unknown))
+                out["times"].append(list(unknown.values()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(uid, uid + len(held_texts)), pa.int64()),
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(out["tokens"], pa.binary()),
+                    pa.array(out["n"], pa.int64()),
+                    pa.array(out["known"], pa.int64()),
+                    pa.array(out["base"], pa.float64()),
+                    pa.array(out["words"], pa.list_(pa.binary())),
+                    pa.array(out["times"], pa.list_(pa.int64())),
+                ],
+                ["uid", "id", "learn", "tokens", "n_tokens", "n_known", "base", "words", "times"],
+            )
+            uid += len(held_texts)
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(
+        run, f"uid long, id {kind}, learn boolean, tokens binary, n_tokens long, n_known long, base double, words array<binary>, times array<long>"
+    )
 
 
 def _flat(p: gru.Params) -> np.ndarray:
@@ -251,7 +333,7 @@ def _unflat(flat: np.ndarray, like: gru.Params) -> gru.Params:
 
 
 def trained(train: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> gru.Params:
-    """Weights after ``rounds`` rounds over rows (id, text); every text is used in one of them."""
+    """Weights after ``rounds`` rounds over rows (id, tokens), or (id, text); every text is used in one of them."""
     sc = train.sparkSession.sparkContext
     held, state, step = sc.broadcast(vocab), [first_weights(vocab)], 0
     state += [{k: np.zeros_like(x) for k, x in state[0].items()} for _ in range(2)]  # Adam's two means
@@ -260,11 +342,11 @@ def trained(train: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> gru.Pa
     def hashed(salt: int) -> Column:
         return F.xxhash64("id", F.lit(salt))
 
-    dealt = train.select(
+    dealt = _numbered(train, vocab.known).select(
         F.pmod(hashed(29), F.lit(shards)).cast("int").alias("shard"),
         hashed(31).alias("key"),
         F.pmod(hashed(23), F.lit(rounds)).alias("turn"),
-        "text",
+        "tokens",
     )
     for turn in range(rounds):
         sent, rate = sc.broadcast((state, step)), RATE * 0.6**turn
@@ -274,12 +356,12 @@ def trained(train: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> gru.Pa
             for shard, some in itertools.groupby(_by_shard(batches), key=lambda x: x[0]):
                 trainer = gru.Trainer(*start, taken, LANES, STEPS)
                 for _, texts_of in some:
-                    trainer.feed([encoded(lower_words_of(t), held.value)[1] for t in texts_of], rate)
+                    trainer.feed([encoded(t, held.value) for t in texts_of], rate)
                 flat = np.concatenate([_flat(x) for x in (trainer.p, trainer.m, trainer.v)]).astype("f4")
                 yield _averaged_row(shard, trainer.seen, trainer.step, flat)
 
         mine = dealt.filter(F.col("turn") == turn).drop("turn").repartitionById(shards, F.col("shard"))
-        rows = mine.sortWithinPartitions("shard", "key", "text").mapInArrow(run, _AVERAGED)
+        rows = mine.sortWithinPartitions("shard", "key", "tokens").mapInArrow(run, _AVERAGED)
         left = shards
         while left > FAN_IN:
             rows = rows.groupBy(F.expr(f"shard div {FAN_IN}").alias("next")).applyInArrow(_averaged, _AVERAGED)
@@ -295,17 +377,17 @@ def trained(train: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> gru.Pa
 _AVERAGED = "shard long, seen long, step long, w binary"
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str]]]:
-    """(shard, texts) of rows ordered by shard, cut by bytes of text alone and not by batches."""
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(shard, texts) of rows ordered by shard, cut by tokens alone and not by batches."""
     held, size, of = [], 0, None
     for batch in batches:
-        for shard, text in zip(batch.column("shard").to_pylist(), texts(batch.column("text")), strict=True):
+        for shard, tokens in zip(batch.column("shard").to_pylist(), _arrays(batch.column("tokens")), strict=True):
             if held and (shard != of or size >= PIECE):
                 yield of, held
                 held, size = [], 0
             of = shard
-            held.append(text)
-            size += len(text)
+            held.append(tokens)
+            size += len(tokens)
     if held:
         yield of, held
 
@@ -331,63 +413,38 @@ def _averaged(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_averaged_row(min(r["shard"] for r in held) // FAN_IN, seen, step, w)])
 
 
-def _parts(docs: DataFrame, vocab: Vocabulary, weights: gru.Params) -> DataFrame:
-    """Per row what follows without the counts of unknown words, and those words."""
-    sc = docs.sparkSession.sparkContext
+def _scores(numbers: DataFrame, vocab: Vocabulary, weights: gru.Params) -> DataFrame:
+    """Per row of ``_numbered`` the score that follows without the counts of unknown words."""
+    sc = numbers.sparkSession.sparkContext
     held, sent = sc.broadcast(vocab), sc.broadcast(weights)
+    kept = ["uid", "id", "n_tokens", "n_known", "base"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, p = held.value, sent.value
-        base_below = math.log10(vocab.total + 0.1 * (vocab.distinct + 1))
-        tail_below = np.log10(vocab.tail_n + 0.1 * (vocab.tail_v + 1))
-        logs = np.log10(vocab.count + 0.1)
-        seen, end, uid = vocab.count > 0, vocab.words[END], TaskContext.get().partitionId() << 40
-        for batch, held_texts in pieces(batches, 1, SCORED):
-            rows, out = [], {k: [] for k in ("n", "known", "base", "rest", "words", "times")}
-            for text in held_texts:
-                words = lower_words_of(text)
-                known, tokens = encoded(words, vocab)
-                rows.append(tokens)
-                there = known[known >= 0]
-                out["n"].append(len(words) + 1)
-                out["known"].append(int(seen[there].sum()) + int(seen[end]))
-                out["base"].append(float(logs[there].sum() + logs[end]) - base_below * (len(words) + 1))
-                tail = tokens[:, 2] < 0
-                tail_there = there[vocab.member[there] < 0]
-                classes = tokens[tail, 1] - vocab.head_classes
-                out["rest"].append(float(logs[tail_there].sum() - tail_below[classes].sum()))
-                unknown = Counter(words[k] for k in np.flatnonzero(known < 0))
-                out["words"].append(list(unknown))
-                out["times"].append(list(unknown.values()))
-            network = gru.scores(p, rows) / math.log(10)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(uid, uid + len(rows)), pa.int64()),
-                    batch.column(0),
-                    pa.array(out["n"], pa.int64()),
-                    pa.array(out["known"], pa.int64()),
-                    pa.array(out["base"], pa.float64()),
-                    pa.array(np.array(out["rest"]) + network, pa.float64()),
-                    pa.array(out["words"], pa.list_(pa.binary())),
-                    pa.array(out["times"], pa.list_(pa.int64())),
-                ],
-                ["uid", "id", "n_tokens", "n_known", "base", "score", "words", "times"],
-            )
-            uid += len(rows)
+        vocab = held.value
+        for batch in batches:
+            tokens = _arrays(batch.column(len(kept)))
+            score = np.array([vocab.rest[t].sum() for t in tokens])
+            ends, at = np.cumsum([len(t) + 1 for t in tokens]), 0
+            while at < len(tokens):  # texts of about SCORED tokens
+                upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SCORED, "right")))
+                score[at:upto] += gru.scores(sent.value, [encoded(t, vocab) for t in tokens[at:upto]]) / math.log(10)
+                at = upto
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(kept))), pa.array(score, pa.float64())], [*kept, "score"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    shape = f"uid long, id {kind}, n_tokens long, n_known long, base double, score double, words array<binary>, times array<long>"
-    return docs.select("id", "text").mapInArrow(run, shape)
+    kind = numbers.schema["id"].dataType.simpleString()
+    return numbers.select(*kept, "tokens").mapInArrow(run, f"uid long, id {kind}, n_tokens long, n_known long, base double, score double")
 
 
 def scored(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: n_tokens, n_known, train_tokens, base_score, score. ``learn`` says what may be learnt from."""
     named = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    train = named.filter("learn")
-    counts = landed(counted(train), "word-counts")
-    vocab = vocabulary(counts, train)
-    parts = landed(_parts(named, vocab, trained(train.select("id", "text"), vocab)), "lm-parts")
-    unknown = parts.select("uid", F.explode(F.arrays_zip("words", "times")).alias("_")).select("uid", F.col("_.words").alias("word"), F.col("_.times").alias("n"))
+    counts = landed(counted(named.filter("learn")), "word-counts")
+    known = known_words(counts)
+    numbers = landed(_numbered(named, known), "lm-numbers")
+    train = numbers.filter("learn").select("id", "tokens")
+    vocab = vocabulary(counts, train, known)
+    parts = _scores(numbers, vocab, trained(train, vocab))
+    unknown = numbers.select("uid", F.explode(F.arrays_zip("words", "times")).alias("_")).select("uid", F.col("_.words").alias("word"), F.col("_.times").alias("n"))
     c = F.coalesce("c", F.lit(0))
     rare = (
         unknown.join(counts, "word", "left")
@@ -395,7 +452,7 @@ def scored(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         .agg(F.sum(F.col("n") * F.log10(c + 0.1)).alias("logs"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("there"))
     )
     logs, there = F.coalesce("logs", F.lit(0.0)), F.coalesce("there", F.lit(0))
-    return parts.drop("words", "times").join(rare, "uid", "left").select(
+    return parts.join(rare, "uid", "left").select(
         F.col("id").alias(id_col),
         "n_tokens",
         (F.col("n_known") + there).alias("n_known"),

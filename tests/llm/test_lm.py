@@ -6,6 +6,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from feedmart.llm import lm
@@ -85,3 +86,19 @@ def test_every_text_is_learnt_from(spark, monkeypatch):
     monkeypatch.setattr(lm, "_mean", lambda found: seen.append(sum(r[1] for r in found)) or original(found))
     lm.trained(docs, vocab)
     assert sum(seen) == vocab.total
+
+
+def test_numbers_stand_for_texts(spark):
+    """Classes and weights that follow from the numbers of the texts are those that follow from the texts."""
+    ship(spark)
+    rows = [(k, t) for k, t in corpus(40) if k is not None]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    known = lm.known_words(lm.counted(docs.na.fill("")))
+    numbers = lm._numbered(docs.na.fill(""), known).select("id", "tokens").cache()
+    unknown = lm.Known({lm.END: 0, b"ra": 1}, known.count[:2], known.total, known.distinct)
+    assert unknown.numbers([b"ra", b"lo,", b"ra"]).tolist() == [1, -1 - lm.ending(b"lo,"), 1]
+    counts = lm.counted(docs.na.fill(""))
+    one, other = lm.vocabulary(counts, docs.na.fill("")), lm.vocabulary(counts, numbers, known)
+    assert (one.tokens == other.tokens).all() and (one.rest == other.rest).all()
+    weights, again = lm.trained(docs.na.fill(""), one), lm.trained(numbers, other)
+    assert all(np.allclose(weights[k], again[k]) for k in weights)
