@@ -10,6 +10,7 @@ from feedmart.functions.labels import label
 from feedmart.operators.dedupe import newest, split_by_key
 from feedmart.plans.warehouse import Warehouse
 from feedmart.session import work_dir
+from feedmart.session import written as landed
 from feedmart.sources import feeds, schemas
 from feedmart.sources.tables import KeyedTable, by_hash
 from feedmart.streaming import ingest
@@ -151,6 +152,7 @@ def _backfilled(spark, sf_dir):
     orders = places(spark, sf_dir)
     day = F.col("o_orderdate").cast("timestamp")
     prices = _lines(spark, sf_dir).groupBy("l_orderkey", "l_linenumber", "l_returnflag").agg(F.max("p").alias("p"))
+    prices = landed(prices, work_dir(spark, "backfill-prices"))  # all three batches read them
     for crawl, file, kept in (("2025-02-28", 2, "P"), ("2025-02-28", 1, "P"), ("2025-02-27", 1, "")):
         known = orders.where(F.col("o_orderstatus") != kept)
         version = [F.lit(crawl).cast("date").alias("fetched_date"), F.lit(f"file-{file}").alias("file_path")]

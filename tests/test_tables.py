@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from feedmart.sources import tables
-from feedmart.sources.tables import Folder, KeyedTable, append_batch, by_column, by_hash, by_leading_month
+from feedmart.sources.tables import Folder, KeyedTable, append_batch, by_column, by_day_and_hash, by_hash, by_leading_month
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -203,3 +203,22 @@ def test_held_batches_equal_upserts_one_by_one(spark, tmp_path, rows, monkeypatc
     for batch in batches:
         made[1].upsert(spark.createDataFrame(batch, "k int,v int,w string"))
     assert rows(made[0].read(spark)) == rows(made[1].read(spark))
+
+
+def test_partitions_are_found_by_their_parts(spark, table):
+    """The partitions of rows, from the distinct parts they follow from: the same as row by row."""
+    keys = ["20250228A", "20250230A", "19691231A", "20991231", "2099123", "21000101A", "2025022\n8", "1970010१", "", "K1", None]
+    days = ["2025-02-28", "2025-03-01", None]
+    rows = spark.createDataFrame([(k, d) for k in keys for d in days], "k string, d string").withColumn("d", F.col("d").cast("date"))
+    day = "try_to_date(regexp_extract(k, '^(19[7-9]|20[0-9])[0-9]{5}', 0), 'yyyyMMdd')"
+    plain = {
+        by_day_and_hash("d", "k", 3): "concat(coalesce(cast(d as string), 'none'), '_', pmod(xxhash64(k), 3))",
+        by_leading_month("k", 3): f"coalesce(date_format({day}, 'yyyyMM'), concat('h', pmod(xxhash64(k), 3)))",
+    }
+    for slot, expression in plain.items():
+        t = table(slot)
+        per_row = [tuple(r) for r in t.slotted(rows).select("k", "d", slot.name).collect()]
+        assert sorted(per_row, key=repr) == sorted(map(tuple, rows.select("k", "d", F.expr(expression)).collect()), key=repr)
+        found = t.distinct_slots(rows)
+        assert found.columns == [slot.name]
+        assert sorted(r[0] for r in found.collect()) == sorted({r[2] for r in per_row}) == sorted(t.slots_of(rows))
