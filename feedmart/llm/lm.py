@@ -1,6 +1,7 @@
 """Language-model scores: a gated recurrent network over words with a class-factored softmax.
 
-* Counts of all words of all training texts, as a table; nothing of it is capped.
+* Counts of all words of all training texts, as a table; nothing of it is capped. Words are parted and counted by
+  Arrow for whole columns of texts, and looked up once for all places where they stand in a piece.
 * Vocabulary of the network: the ``HEADS`` most frequent words have input rows and places in head
   classes; every other word, seen or not, belongs to one of ``ENDINGS`` endings, and endings to tail
   classes. Which words and endings go together comes from how often they share a text.
@@ -26,18 +27,18 @@ import functools
 import itertools
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmart.llm import gru
-from feedmart.llm.common import crc_bucket, landed, lower_words_of, texts
+from feedmart.llm.common import crc_bucket, landed
 
 WIDTH = 24
 HEADS, MEMBERS = 1024, 32
@@ -59,34 +60,53 @@ BLOCK = 64
 _EDGE = b".,;:!?%$&#*|\"')("
 
 
-@functools.lru_cache(maxsize=1 << 16)
 def ending(word: bytes) -> int:
     """The ending of a word: its last three bytes, and whether punctuation follows."""
     bare = word.rstrip(_EDGE)
-    return zlib.crc32(bare[-3:] + (b"." if len(bare) < len(word) else b"")) % ENDINGS
+    return _ending(bare[-3:], len(bare) < len(word))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def _ending(last: bytes, followed: bool) -> int:
+    return zlib.crc32(last + (b"." if followed else b"")) % ENDINGS
+
+
+def endings(words: pa.Array) -> np.ndarray:
+    """The endings of an Arrow array of words."""
+    bare = pc.ascii_rtrim(words.view(pa.string()), _EDGE.decode()).view(pa.binary())
+    last = pc.binary_slice(bare, -3).dictionary_encode()
+    either = np.array([(_ending(x, False), _ending(x, True)) for x in last.dictionary.to_pylist()], np.int64).reshape(-1, 2)
+    return either[last.indices.to_numpy(), pc.less(pc.binary_length(bare), pc.binary_length(words)).to_numpy(zero_copy_only=False).astype(np.int64)]
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts come to about ``most`` bytes."""
     for batch in batches:
-        at, size, held = 0, 0, []
-        for k, text in enumerate(texts(batch.column(column))):
-            held.append(text)
-            size += len(text)
-            if size >= most or k + 1 == batch.num_rows:
-                yield batch.slice(at, k + 1 - at), held
-                at, size, held = k + 1, 0, []
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:  # the text that reaches ``most`` is the last of its piece
+            upto = min(batch.num_rows, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most)) + 1)
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
+def words_in(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The words of all texts of a column, as ``lower_words_of`` gives them, one text after the other; and where
+    the words of each text begin, with the end of the last."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column.fill_null("")))
+    words, starts = lists.flatten(), lists.offsets.to_numpy()
+    there = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty word
+    before = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+    return before[starts - starts[0]], words.filter(there).cast(pa.binary())
 
 
 def counted(train: DataFrame) -> DataFrame:
     """(word, c) over all rows (text), the end token with them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in pieces(batches, 0, READ):
-            c = Counter({END: len(held)})
-            for text in held:
-                c.update(lower_words_of(text))
-            yield pa.RecordBatch.from_pydict({"word": pa.array(list(c), pa.binary()), "c": pa.array(list(c.values()), pa.int64())})
+        for batch in pieces(batches, 0, READ):
+            c = words_in(batch.column(0))[1].value_counts()
+            word = pa.concat_arrays([c.field("values"), pa.array([END], pa.binary())])
+            yield pa.RecordBatch.from_arrays([word, pa.concat_arrays([c.field("counts"), pa.array([batch.num_rows], pa.int64())])], ["word", "c"])
 
     return train.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -101,10 +121,16 @@ class Known:
     total: int  # N
     distinct: int  # V
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        out = np.fromiter(map(self.words.get, words, itertools.repeat(-1)), np.int32, len(words))
-        for k in np.flatnonzero(out < 0).tolist():
-            out[k] = -1 - ending(words[k])
+    @functools.cached_property
+    def listed(self) -> pa.Array:
+        """The words in the order of their numbers."""
+        return pa.array(list(self.words), pa.binary())
+
+    def numbers(self, words: list[bytes] | pa.Array) -> np.ndarray:
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+        found = pc.index_in(words, value_set=self.listed)
+        out, unknown = found.fill_null(-1).to_numpy().astype(np.int32), found.is_null()
+        out[out < 0] = -1 - endings(words.filter(unknown))
         return out
 
     def by_number(self, of_known: np.ndarray, of_ending: np.ndarray) -> np.ndarray:
@@ -155,21 +181,19 @@ def _together(train: DataFrame, place: np.ndarray, heads: int) -> np.ndarray:
                 # exact: sums of whole numbers below 2 ** 53
                 sums += (c.T.astype(float) @ near.astype(float)).astype(np.int64)
         k = np.flatnonzero(sums.any(axis=1))
-        yield pa.RecordBatch.from_pydict({"k": pa.array(k, pa.int64()), "v": pa.array(list(sums[k]), pa.list_(pa.int64()))})
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (k, *sums[k].T)], ["k", *names])
 
+    names = [f"x{j}" for j in range(anchors)]
     summed = (
         train.select("tokens")
-        .mapInArrow(run, "k long, v array<long>")
-        .select("k", F.posexplode("v").alias("j", "x"))
-        .groupBy("k", "j")
-        .agg(F.sum("x").alias("x"))
+        .mapInArrow(run, ", ".join(f"{x} long" for x in ("k", *names)))
         .groupBy("k")
-        .agg(F.array_sort(F.collect_list(F.struct("j", "x"))).alias("v"))
+        .agg(*(F.sum(x).alias(x) for x in names))
         .collect()  # a row per head word and ending
     )
     out = np.zeros((rows, max(anchors, 1)))
     for r in summed:
-        out[r["k"], : len(r["v"])] = [x["x"] / (1 << 16) for x in r["v"]]
+        out[r["k"], :anchors] = [r[x] / (1 << 16) for x in names]
     return out
 
 
@@ -219,11 +243,11 @@ def vocabulary(counts: DataFrame, train: DataFrame, known: Known | None = None)
     words, count = known.words, known.count
     order = [END, *(w for w in words if w != END)][:HEADS]
     heads = {w: k for k, w in enumerate(order)}
-    endings = np.fromiter(map(ending, words), np.int64, len(words))
+    ending_of = endings(known.listed)
     place = np.fromiter((heads.get(w, -1) for w in words), np.int64, len(words))
     is_head = place >= 0
     near = _together(
-        _numbered(train, known), known.by_number(np.where(is_head, place, len(heads) + endings), len(heads) + np.arange(ENDINGS)), len(heads)
+        _numbered(train, known), known.by_number(np.where(is_head, place, len(heads) + ending_of), len(heads) + np.arange(ENDINGS)), len(heads)
     )
     head_n = np.array([count[words[w]] for w in order]) + 0.1
     # head words that go together fill a class of MEMBERS; endings that go together are a tail class
@@ -234,11 +258,12 @@ def vocabulary(counts: DataFrame, train: DataFrame, known: Known | None = None)
     head_classes = -(-len(heads) // MEMBERS)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = np.zeros((2, TAILS), np.int64)
+        got, heads = np.zeros((2, TAILS), np.int64), pa.array(order, pa.binary())
         for batch in batches:
-            for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if w not in heads:
-                    got[:, tails[ending(w)]] += (c, 1)
+            batch = batch.filter(pc.invert(pc.is_in(batch.column(0), value_set=heads)))
+            tail = tails[endings(batch.column(0))]
+            np.add.at(got[0], tail, batch.column(1).to_numpy())
+            got[1] += np.bincount(tail, minlength=TAILS)
         yield pa.RecordBatch.from_pydict({"k": list(range(TAILS)), "n": got[0], "v": got[1]})
 
     tail_n, tail_v = np.zeros(TAILS), np.zeros(TAILS)
@@ -246,11 +271,11 @@ def vocabulary(counts: DataFrame, train: DataFrame, known: Known | None = None)
         tail_n[r["k"]], tail_v[r["k"]] = r["n"], r["v"]
     own = input_of[np.where(is_head, place, 0)]
     of_ending = np.stack([len(heads) + np.arange(ENDINGS), head_classes + tails, np.full(ENDINGS, -1)], axis=1)
-    of_known = np.where(is_head[:, None], np.stack([own, own // MEMBERS, own % MEMBERS], axis=1), of_ending[endings])
+    of_known = np.where(is_head[:, None], np.stack([own, own // MEMBERS, own % MEMBERS], axis=1), of_ending[ending_of])
     members = np.zeros((head_classes, MEMBERS))
     members[own[is_head] // MEMBERS, own[is_head] % MEMBERS] = count[is_head] + 0.1
     below = np.log10(tail_n + 0.1 * (tail_v + 1))[tails]
-    rest = np.where(is_head, 0, np.log10(count + 0.1) - below[endings])
+    rest = np.where(is_head, 0, np.log10(count + 0.1) - below[ending_of])
     return Vocabulary(known, known.by_number(of_known, of_ending).astype(np.int32), known.by_number(rest, -below),
                       of_known[words[END]].astype(np.int32), members, tail_n, len(heads))
 
@@ -286,33 +311,32 @@ def _numbered(docs: DataFrame, known: Known) -> DataFrame:
         none = np.zeros(ENDINGS)
         logs, seen = known.by_number(np.log10(known.count + 0.1), none), known.by_number(known.count > 0, none).astype(np.int64)
         end, uid = known.words[END], TaskContext.get().partitionId() << 40
-        for batch, held_texts in pieces(batches, 2, READ):
-            out = {k: [] for k in ("tokens", "n", "known", "base", "words", "times")}
-            for text in held_texts:
-                words = lower_words_of(text)
-                tokens = known.numbers(words)
-                unknown = Counter(words[k] for k in np.flatnonzero(tokens < 0).tolist())
-                out["tokens"].append(tokens.tobytes())
-                out["n"].append(len(words) + 1)
-                out["known"].append(int(seen[tokens].sum() + seen[end]))
-                out["base"].append(float(logs[tokens].sum() + logs[end]) - base_below * (len(words) + 1))
-                out["words"].append(list(unknown))
-                out["times"].append(list(unknown.values()))
+        for batch in pieces(batches, 2, READ):
+            starts, words = words_in(batch.column(2))
+            coded = words.dictionary_encode()
+            codes, different = coded.indices.to_numpy(), max(1, len(coded.dictionary))
+            tokens = known.numbers(coded.dictionary)[codes]
+            of_text, n = [tokens[a:b] for a, b in itertools.pairwise(starts)], np.diff(starts) + 1
+            there = np.concatenate([[0], np.cumsum(seen[tokens])])
+            # the unknown words of each text, once, with how often they stand there
+            unknown = np.flatnonzero(tokens < 0)
+            pairs, times = np.unique((np.searchsorted(starts, unknown, "right") - 1) * different + codes[unknown], return_counts=True)
+            firsts = pa.array(np.searchsorted(pairs, np.arange(len(starts)) * different), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(range(uid, uid + len(held_texts)), pa.int64()),
+                    pa.array(range(uid, uid + len(n)), pa.int64()),
                     batch.column(0),
                     batch.column(1),
-                    pa.array(out["tokens"], pa.binary()),
-                    pa.array(out["n"], pa.int64()),
-                    pa.array(out["known"], pa.int64()),
-                    pa.array(out["base"], pa.float64()),
-                    pa.array(out["words"], pa.list_(pa.binary())),
-                    pa.array(out["times"], pa.list_(pa.int64())),
+                    pa.array([t.tobytes() for t in of_text], pa.binary()),
+                    pa.array(n, pa.int64()),
+                    pa.array(np.diff(there[starts]) + seen[end], pa.int64()),
+                    pa.array([float(logs[t].sum() + logs[end]) - base_below * (len(t) + 1) for t in of_text], pa.float64()),
+                    pa.ListArray.from_arrays(firsts, coded.dictionary.take(pa.array(pairs % different))),
+                    pa.ListArray.from_arrays(firsts, pa.array(times, pa.int64())),
                 ],
                 ["uid", "id", "learn", "tokens", "n_tokens", "n_known", "base", "words", "times"],
             )
-            uid += len(held_texts)
+            uid += len(n)
 
     kind = docs.schema["id"].dataType.simpleString()
     return rows.mapInArrow(

@@ -7,10 +7,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from feedmart.llm import lm
-from feedmart.llm.common import crc_of, ship
+from feedmart.llm.common import crc_of, lower_words_of, ship
 
 SYLLABLES = {"a": "ra to mi se lo".split(), "b": "und gen ver ich ung".split()}
 
@@ -102,3 +103,27 @@ def test_numbers_stand_for_texts(spark):
     assert (one.tokens == other.tokens).all() and (one.rest == other.rest).all()
     weights, again = lm.trained(docs.na.fill(""), one), lm.trained(numbers, other)
     assert all(np.allclose(weights[k], again[k]) for k in weights)
+
+
+def test_words_of_a_column_are_those_of_its_texts():
+    """Words are parted, counted and looked up for a whole column, without a Python object per word."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aB Z\t\n\x0b\x0c\r\x1c\x1f\x85\xa0 \u00c9\u00df.,;\"')(\x00") for _ in range(rng.randrange(40))) for _ in range(500)]
+    texts += [None, "", " \n", "a" * 300, "\U0001f600, x"]
+    column = pa.array(["left out", *texts])[1:]
+    starts, found = lm.words_in(column)
+    assert [found[a:b].to_pylist() for a, b in zip(starts, starts[1:])] == [lower_words_of(t) for t in texts]
+    assert [w.to_pylist() for w in (lm.words_in(column[:0])[1], lm.words_in(column[-3:-2])[1])] == [[], []]
+    cut = [b.num_rows for b in lm.pieces(iter([pa.RecordBatch.from_arrays([column], ["text"])]), 0, 100)]
+    assert sum(cut) == len(texts) and len(cut) > 50
+
+
+def test_endings_are_worked_out_once_for_words_that_share_them(monkeypatch):
+    odd = [b"", b".", b"a.,", b"abc", b"abc,", b"\xc3\xa4\xc3\xb6", b"(\xc3\xa4)", lm.END]
+    many = [f"w{k}ing{'.' * (k % 2)}".encode() for k in range(1000)]
+    expect = [lm.ending(w) for w in odd + many]
+    asked, original = [], lm._ending
+    monkeypatch.setattr(lm, "_ending", lambda *of: asked.append(of) or original(*of))
+    assert lm.endings(pa.array(odd + many, pa.binary())).tolist() == expect
+    assert len(asked) < 20
+    assert lm.endings(pa.array([], pa.binary())).tolist() == []
