@@ -88,3 +88,9 @@ def international_doc(schedules, fares, airlines=None, fare_types=None):
 
 def fares_of(*prices, option="A01"):
     return {"sch": [], "fare": {option: list(prices)}}
+
+
+def shuffles(df):
+    """What the plan's shuffles go by."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.partition("hashpartitioning(")[2] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]

@@ -151,3 +151,9 @@ def test_documents_may_be_parsed_once_for_all_tables(spark, tmp_path, rows):
     for name in plain:
         assert rows(plain[name]) == rows(once[name])
         assert "json" not in once[name]._jdf.queryExecution().executedPlan().toString().split("Scan ", 1)[1][:20]
+
+
+def test_fares_are_shuffled_once_and_by_flight(spark, tmp_path):
+    fares = build(spark, tmp_path, fx.domestic_doc(fx.schedule()))["fare_info"]
+    (by,) = fx.shuffles(fares)
+    assert by.startswith("air_id") and "agt_code" not in by

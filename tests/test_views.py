@@ -5,7 +5,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from acceptance.views import as_json
+from acceptance.views import as_json, trips
+from tests import fixtures as fx
 
 
 def test_a_large_feed_is_compressed_and_not_sorted_by_folder(spark, tmp_path, rows):
@@ -28,3 +29,13 @@ def test_a_large_feed_is_compressed_and_not_sorted_by_folder(spark, tmp_path, ro
 def test_small_feeds_stay_plain_text(spark, tmp_path):
     as_json(spark.range(3), str(tmp_path / "feed"), "events")
     assert all(f.suffix == ".json" for f in (tmp_path / "feed").rglob("events-*"))
+
+
+def test_an_orders_legs_are_put_together_in_one_shuffle(spark, tmp_path, rows):
+    more = ["id AS l_partkey", "id AS l_suppkey", "1d AS l_quantity", "2d AS l_extendedprice", "0d AS l_tax"]
+    more += ["'N' AS l_returnflag", "'O' AS l_linestatus", "timestamp'1996-01-01' AS l_shipdate"]
+    lines = spark.range(12).selectExpr("id % 2 AS l_orderkey", "cast(id % 3 AS int) AS l_linenumber", *more)
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = trips(spark, str(tmp_path))
+    assert len(fx.shuffles(found)) == 1
+    assert rows(found, "full_air_id", "legs.l_partkey") == [("0-0+0-1+0-2", [6, 10, 8]), ("1-0+1-1+1-2", [9, 7, 11])]
