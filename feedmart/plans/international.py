@@ -123,9 +123,11 @@ def flights(known_trips: DataFrame) -> DataFrame:
 def fares(
     base: DataFrame, known_trips: DataFrame, option_label: str = labels.ADULT_ANY_PAYMENT
 ) -> DataFrame:
-    """One row per id, class, agent, crawl day and fare class, for one payment option."""
+    """One row per id, class, agent, crawl day and fare class, for one payment option.
+
+    The fares travel once, by id: they are made unique, and joined with their flights, where they are."""
     keyed, _ = split_by_key(_priced(base, option_label), FARE_PARTS)
-    single = newest(keyed, FARE_KEYS, by_version(["file_path"]))
+    single = newest(keyed.repartition("air_id"), FARE_KEYS, by_version(["file_path"]))
     return having_key(single, itinerary.air_ids(known_trips), "air_id")
 
 

@@ -153,3 +153,9 @@ def test_documents_may_be_parsed_once_for_all_tables(spark, tmp_path, rows):
     once = international.tables(raw, fx.airports(spark), str(tmp_path / "parsed"))
     for name in plain:
         assert rows(plain[name]) == rows(once[name])
+
+
+def test_fares_are_shuffled_once_and_by_id(spark, tmp_path):
+    fares = build(spark, tmp_path, doc({"K1": DIRECT}, {"K1": fx.fares_of(fx.price())}))["fare_info"]
+    by = fx.shuffles(fares)
+    assert by and not [b for b in by if "agt_code" in b]
